@@ -93,14 +93,14 @@ def fill(docs: list[np.ndarray], capacity: int = CAPACITY) -> np.ndarray:
     return where
 
 
-def pack_table(encoded: DataFrame, id_column: str, capacity: int = CAPACITY, shard_rows: int = SHARD_ROWS) -> DataFrame:
+def pack_table(encoded: DataFrame, id_column: str, capacity: int = CAPACITY, shard_rows: int = SHARD_ROWS, total: int | None = None) -> DataFrame:
     """`id_column`, piece_no, n_tokens, container: one row for each piece. encoded: `id_column` and ids.
 
-    The ids are shuffled once, by shard; a shard holds about `shard_rows` documents whatever the size of the table.
+    total: the number of documents, where it is known without encoding them. The ids are shuffled once, by shard; a shard holds about `shard_rows` documents whatever the size of the table.
     """
     kind = dict(encoded.dtypes)[id_column]
     rows = encoded.select(F.col(f"`{id_column}`").alias("id"), "ids")
-    shards = max(1, -(-rows.count() // shard_rows))
+    shards = max(1, -(-(rows.count() if total is None else total) // shard_rows))
     whole = F.floor(F.size("ids") / capacity).cast("int")
     picked = rows.select("id", F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int").alias("shard"), whole.alias("whole"), F.expr(f"slice(ids, cast(floor(size(ids) / {capacity}) as int) * {capacity} + 1, {capacity})").alias("rest"))
 
