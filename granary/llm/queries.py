@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from granary.llm import lookalike, neighbours, overlap, packing, pairs, residue, splitting, tokenize, truncation
+from granary.llm import lookalike, neighbours, overlap, packing, pairs, residue, scanned, splitting, tokenize, truncation
 from granary.session import table
 
 
@@ -25,6 +25,19 @@ def _vectors(spark: SparkSession, d: str) -> DataFrame:
     return neighbours.latest_vectors(table(spark, d, "vector_record"), "vec_id", "embedding", F.col("metadata.date_uploaded"))
 
 
+def _repaired(spark: SparkSession, d: str) -> DataFrame:
+    chunks_ = scanned.book_chunks(table(spark, d, "book_chapter"), table(spark, d, "book_part"), table(spark, d, "book_subpart"))
+    return scanned.repaired(chunks_, ["table_name", "row_id", "chunk_no"])
+
+
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    return _repaired(spark, d).select("table_name", "row_id", "chunk_no", F.explode("noise").alias("noise")).distinct()
+
+
+def p1_repaired(spark: SparkSession, d: str) -> DataFrame:
+    return _repaired(spark, d).select("table_name", "row_id", "chunk_no", "text", F.array_join("noise", ",").alias("noise"))
+
+
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return neighbours.neighbour_pairs(neighbours.nearest(_vectors(spark, d)))
 
@@ -103,7 +116,7 @@ def p10_by_source(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (p2_found, p2_neighbours, p3_found, p3_by_split_source, p4_found, p5_found, p5_pieces, p6_found, p6_clean, p7_found, p7_one_form, p8_ids, p9_containers, p9_fill, p10_found, p10_by_source)
+    for f in (p1_found, p1_repaired, p2_found, p2_neighbours, p3_found, p3_by_split_source, p4_found, p5_found, p5_pieces, p6_found, p6_clean, p7_found, p7_one_form, p8_ids, p9_containers, p9_fill, p10_found, p10_by_source)
 }
 #: No SQL: these operators can't be expressed in it; they are tested against brute force, exact round trips and held-out cases.
 ORACLES: dict[str, str] = {
