@@ -25,16 +25,14 @@ OMITTED = r"(…|\\x{{FFFD}}|\\.\\.\\.|\\[\\s*(more|\\.\\.\\.|…|truncated|cut|
 #: Marks that end a sentence, with closing quotes and brackets after them.
 FINAL = r"[.!?。！？।]([\\x22\\x27”’»)\\]*_\\x60]|\\s)*$"
 
+# Fenced code is left out, with its fences; so are blank lines.
 _LINES = r"""
-SELECT doc, pos, line, last,
+SELECT doc, line, pos = n - 1 AS last,
        CASE WHEN line RLIKE '^\\s*([-*•+]|[0-9]+[.)])\\s' THEN 'list'
             WHEN line RLIKE '^\\s*\\|' THEN 'table'
             WHEN line RLIKE '^\\s*#+ ' THEN 'heading' ELSE 'prose' END AS kind
-FROM (SELECT doc, pos, line, pos = n - 1 AS last,
-             -- lines of code are left out: the number of fences up to and with this line is odd, or it is a fence
-             sum(CASE WHEN line RLIKE '^\\s*```' THEN 1 ELSE 0 END) OVER (PARTITION BY doc ORDER BY pos) AS fences
-      FROM (SELECT doc, size(split(text, '\\r\\n|\\n|\\r')) AS n, posexplode(split(text, '\\r\\n|\\n|\\r')) AS (pos, line) FROM {texts}))
-WHERE fences % 2 = 0 AND NOT line RLIKE '^\\s*```' AND length(trim(line)) > 0
+FROM (SELECT doc, size(lines) AS n, posexplode(lines) AS (pos, line)
+      FROM (SELECT doc, filter(split(regexp_replace(text, '(?ms)^[ \\t]*```.*?(^[ \\t]*```[^\\n]*$|\\z)', ''), '\\r\\n|\\n|\\r'), x -> length(trim(x)) > 0) AS lines FROM {texts}))
 """
 
 # A position is inside if the line goes on after the bare word, by a mark or by a word. Words: lower case, digits as 0.
@@ -85,16 +83,17 @@ def cut_documents(df: DataFrame, id_column: str = "doc_id", text_column: str = "
     # shorter grams, with a wildcard: what ends like this, or stands in this place
     for name, keys in (("w23", ("w2", "w3")), ("w12", ("w1", "w2")), ("w13", ("w1", "w3"))):
         a, b = keys
-        view[name] = sql(f"SELECT r.doc, {judged} AS cut FROM (SELECT r.doc, coalesce(c.ins, 0) - CASE WHEN r.inside THEN 1 ELSE 0 END AS ins, coalesce(c.fin, 0) - CASE WHEN r.inside THEN 0 ELSE 1 END AS fin FROM {{rare}} r LEFT JOIN (SELECT kind, {a}, {b}, sum(ins) AS ins, sum(fin) AS fin FROM {{counts}} GROUP BY kind, {a}, {b}) c ON r.kind = c.kind AND r.{a} = c.{a} AND r.{b} = c.{b} AND NOT (r.w1 = '^' AND r.w2 = '^')) r")
+        view[name] = sql(f"SELECT r.doc, {judged} AS cut, ins + fin >= {LEAST_SEEN} AND fin * 2 >= ins + fin AS whole FROM (SELECT r.doc, coalesce(c.ins, 0) - CASE WHEN r.inside THEN 1 ELSE 0 END AS ins, coalesce(c.fin, 0) - CASE WHEN r.inside THEN 0 ELSE 1 END AS fin FROM {{rare}} r LEFT JOIN (SELECT kind, {a}, {b}, sum(ins) AS ins, sum(fin) AS fin FROM {{counts}} GROUP BY kind, {a}, {b}) c ON r.kind = c.kind AND r.{a} = c.{a} AND r.{b} = c.{b} AND NOT (r.w1 = '^' AND r.w2 = '^')) r")
     view["found"] = sql("""
         SELECT doc, reason FROM (
           SELECT s.doc, CASE WHEN s.shape IN ('mark', 'code', 'table', 'comma') THEN s.shape
                              WHEN s.shape = 'whole' THEN NULL
                              WHEN t.cut THEN 'trigram' WHEN NOT t.cut THEN NULL
-                             WHEN b.doc IS NOT NULL OR p.doc IS NOT NULL THEN 'word'
-                             WHEN x.cut THEN 'bigram' WHEN NOT x.cut THEN NULL
-                             WHEN y.cut THEN 'context' WHEN NOT y.cut THEN NULL
-                             WHEN z.cut THEN 'context' END AS reason
+                             WHEN b.doc IS NOT NULL THEN 'word'
+                             WHEN x.whole OR y.whole OR z.whole THEN NULL
+                             WHEN p.doc IS NOT NULL THEN 'word'
+                             WHEN x.cut THEN 'bigram'
+                             WHEN y.cut OR z.cut THEN 'context' END AS reason
           FROM {shape} s LEFT JOIN {tri} t ON s.doc = t.doc LEFT JOIN {begun} b ON s.doc = b.doc LEFT JOIN {partial} p ON s.doc = p.doc
                LEFT JOIN {w23} x ON s.doc = x.doc LEFT JOIN {w12} y ON s.doc = y.doc LEFT JOIN {w13} z ON s.doc = z.doc)
         WHERE reason IS NOT NULL""")
