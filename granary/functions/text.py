@@ -35,13 +35,15 @@ def lines(c: Column) -> Column:
     return F.split(c, "\n")
 
 
+def let(value: Column, fn) -> Column:
+    """fn of a value that is computed once: a lambda's variable isn't inlined as a column is."""
+    return F.get(F.transform(F.array(value), fn), F.lit(0))
+
+
 def first_paragraph(c: Column) -> Column:
     """Stripped lines up to the first blank one, leading blank ones skipped. A text of blanks gives an empty text."""
-    stripped = F.transform(lines(c), strip)
-    start = F.array_position(F.transform(stripped, lambda x: x != ""), True)
-    rest = F.slice(stripped, F.greatest(start, F.lit(1)), F.size(stripped))
-    blank = F.array_position(rest, "")
-    return F.when(start == 0, "").otherwise(F.array_join(F.when(blank > 0, F.slice(rest, F.lit(1), blank - 1)).otherwise(rest), "\n"))
+    stripped = F.regexp_replace(F.regexp_replace(c, r"(?md)^[^\S\n]+|[^\S\n]+$", ""), r"^\n+|\n+\z", "")
+    return F.substring_index(stripped, "\n\n", 1)
 
 
 def list_shaped(c: Column) -> Column:
@@ -51,18 +53,24 @@ def list_shaped(c: Column) -> Column:
 
 def red_flag_cut(c: Column) -> Column:
     """Whole lines before the first red flag after line 3; a second or third flag before line 6 moves the cut there."""
-    low = F.lower(c)
-    hits = F.array_sort(F.filter(F.array(*(F.instr(low, f) for f in RED_FLAGS)), lambda p: p > 0))
-    line = lambda p: F.length(F.regexp_replace(c.substr(F.lit(1), p - 1), "[^\n]", "")) + 1
-    marks = F.filter(hits, lambda p: line(p) > 3)
-    second, third = F.get(marks, 1), F.get(marks, 2)
-    cut = F.when(third.isNotNull() & (line(third) < 6), third).when(second.isNotNull() & (line(second) < 6), second).otherwise(F.get(marks, 0))
-    return F.when(F.size(marks) == 0, c).otherwise(whole_lines(c.substr(F.lit(1), cut - 1)))
+    flags = F.array(*map(F.lit, RED_FLAGS))
+
+    def cut(text: Column, marks: Column) -> Column:
+        second, third = F.get(marks, F.lit(1)), F.get(marks, F.lit(2))
+        at = F.when(third["line"] < 6, third["p"]).when(second["line"] < 6, second["p"]).otherwise(F.get(marks, F.lit(0))["p"])
+        return F.when(F.size(marks) == 0, text).otherwise(whole_lines(text.substr(F.lit(1), at - 1)))
+
+    def marked(text: Column) -> Column:
+        places = let(F.lower(text), lambda low: F.filter(F.transform(flags, lambda f: F.position(f, low)), lambda p: p > 0))
+        lined = F.transform(places, lambda p: F.struct(p.alias("p"), (F.size(F.split(text.substr(F.lit(1), p - 1), "\n"))).alias("line")))
+        return let(F.array_sort(F.filter(lined, lambda m: m["line"] > 3)), lambda marks: cut(text, marks))
+
+    return let(c, marked)
 
 
 def whole_lines(c: Column) -> Column:
     """All lines but the last, stripped."""
-    return strip(F.array_join(F.slice(lines(c), F.lit(1), F.size(lines(c)) - 1), "\n"))
+    return strip(F.regexp_replace(c, r"(^|\n)[^\n]*\z", ""))
 
 
 def cap_lines(c: Column, limit: int = 500) -> Column:

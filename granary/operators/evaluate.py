@@ -5,6 +5,8 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from granary.functions import text as X
+
 
 def confusion(df: DataFrame, label: str, predicted: str) -> DataFrame:
     return df.groupBy(F.col(label).alias("label"), F.col(predicted).alias("predicted")).agg(F.count("*").alias("n"))
@@ -23,8 +25,9 @@ def rouge_n(df: DataFrame, id_column: str, reference: str, candidate: str, n: in
     """id, rouge: F-measure of n-gram multisets, words of a-z and 0-9 in lower case. Pairs without common n-grams have 0."""
     def grams(c: str):
         w = F.regexp_extract_all(F.lower(F.coalesce(F.col(c), F.lit(""))), F.lit("[a-z0-9]+"), F.lit(0))
-        w = w if n == 1 else F.when(F.size(w) >= n, F.transform(F.sequence(F.lit(1), F.size(w) - (n - 1)), lambda i: F.array_join(F.slice(w, i, n), " "))).otherwise(F.array().cast("array<string>"))
-        return w
+        if n == 1:
+            return w
+        return X.let(w, lambda v: F.when(F.size(v) >= n, F.transform(F.sequence(F.lit(1), F.size(v) - (n - 1)), lambda i: F.array_join(F.slice(v, i, F.lit(n)), " "))).otherwise(F.array().cast("array<string>")))
 
     base = df.select(F.col(id_column).alias("id"), grams(reference).alias("r"), grams(candidate).alias("c"))
     sizes = base.select("id", F.size("r").alias("nr"), F.size("c").alias("nc"))

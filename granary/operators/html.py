@@ -9,6 +9,8 @@ from html.parser import HTMLParser
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from granary.session import spread
+
 _LINK = re.compile(r"\[http.*\]")
 _KEEP = {"h1", "p", "code", "td", "tr", "table", "hr", "pre", "blockquote"}
 
@@ -88,7 +90,7 @@ def parse_pages(df: DataFrame, id_column: str, html: str) -> DataFrame:
             rows = [(r.id, s["command_name"], s["description"], s["syntax"], s["flags"], e["description"], e["code"]) for r in pdf.itertuples(index=False) for s in parse_page(r.html) for e in s["examples"]]
             yield pd.DataFrame(rows, columns=["id", "command_name", "description", "syntax", "flags", "objective", "command"])
 
-    return df.select(F.col(id_column).alias("id"), F.col(html).alias("html")).mapInPandas(run, f"id {dict(df.dtypes)[id_column]}, command_name string, description string, syntax string, flags array<struct<option: string, short: string, default_value: string, description: string>>, objective string, command string")
+    return spread(df.select(F.col(id_column).alias("id"), F.col(html).alias("html"))).mapInPandas(run, f"id {dict(df.dtypes)[id_column]}, command_name string, description string, syntax string, flags array<struct<option: string, short: string, default_value: string, description: string>>, objective string, command string")
 
 
 def escape(c: Column) -> Column:

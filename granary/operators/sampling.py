@@ -51,15 +51,15 @@ def nearest_pick(cdf: DataFrame, samples: DataFrame, cells: int = 4096) -> DataF
     return inner.unionByName(outer).groupBy("sample_no").agg(F.min_by("id", F.struct(gap, (-F.col("cdf")))).alias("id"))
 
 
-def guided_sample(pdf: DataFrame, n: int, seed: int = 0, rounds: int = 40) -> DataFrame:
-    """round, id: n distinct rows whose place in the CDF is nearest to truncated-normal draws. Fewer if `rounds` rounds of n / 10 new draws find no more."""
+def guided_sample(pdf: DataFrame, n: int, seed: int = 0, rounds: int = 12) -> DataFrame:
+    """round, id: n distinct rows whose place in the CDF is nearest to truncated-normal draws. Fewer if `rounds` rounds, of twice as many new draws each, find no more."""
     from granary.operators.scoring import score_cdf
 
     spark = pdf.sparkSession
     cdf = cut(score_cdf(pdf).select("id", "cdf", "rank"), "cdf")
     found = None
     for r in range(rounds):
-        draws = truncated_normal(spark, max(1, math.ceil(n / 10)) if r else n, seed=seed + r)
+        draws = truncated_normal(spark, n << r, seed=seed + r)
         new = nearest_pick(cdf, draws).select(F.lit(r).alias("round"), "id")
         found = cut((new if found is None else found.unionByName(new)).groupBy("id").agg(F.min("round").alias("round")), "picked")
         if found.count() >= n:

@@ -39,3 +39,9 @@ def cut(df: DataFrame, label: str = "cut") -> DataFrame:
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """df over all cores before work in Python, where a small input came in fewer partitions; large inputs stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
