@@ -54,7 +54,7 @@ def test_truncation(spark):
 
 def test_residue(spark):
     real = ["How do I list pods?", "Which pod returns the 502 bad gateway error reported by kilo?", "Does the page of kilo need JavaScript disabled?", "How do I replace the TODO annotation on kilo?", "What does jsonpath={.items[*].spec} show for kilo?", "How do I print kilo with the template {{.metadata.name}}?", "How do I pass $HOME and <none> filters to kilo?", "Wie bearbeite ich kilo?", "I do not know lorem, could you explain it?"]
-    bad = ["How do I list {{ name }}?", "Show <your app here> in web", "How can I copy %s out of pod?", "How do I scale ${RESOURCE}?", "Lorem ipsum dolor sit amet", "blah blah blah", "TODO: write question", "[Insert question here]", "404 Not Found\nReference ab12cd34ef56", "Please enable JavaScript to go on.", "Checking your browser before you go on.", "undefined", "Seite nicht gefunden.\nTrace: 99aa88bb77cc", "java.lang.NullPointerException\n  at Renderer.java:12", "Sorry, we couldn't find that page."]
+    bad = ["How do I list {{ name }}?", "Show <your app here> in web", "How can I copy %s out of pod?", "How do I scale ${RESOURCE}?", "Lorem ipsum dolor sit amet", "blah blah blah", "TODO: write question", "[Insert question here]", "404 Not Found\nReference ab12cd34ef56", "Please enable JavaScript to go on.", "Checking your browser before you go on.", "undefined", "Seite nicht gefunden.\nTrace: 99aa88bb77cc", "java.lang.NullPointerException\n  at Renderer.java:12", "Sorry, we couldn't find that page.", "Text here kilo text here text", "Error 1020: Access denied"]
     shared = [f"How do I list {w}?\nPlease try again later." for w in WORDS[:5]]
     data = [(i, t, "h") for i, t in enumerate(real + [None, "", " "] + shared)] + [(100 + i, t, None if i % 2 else "h") for i, t in enumerate(bad)]
     df = spark.createDataFrame(data, "entry_id bigint, question string, source string").withColumn("text", F.lit(0)).withColumn("kind", F.lit(0))
