@@ -3,17 +3,40 @@
 from __future__ import annotations
 
 import atexit
+import io
 import shutil
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 _OWN: dict[str, str] = {}
 
 
+def ship(spark: SparkSession) -> None:
+    """Gives this package to the Python workers, once for each application, through the shared folder."""
+    sc = spark.sparkContext
+    if _OWN.get("shipped") == sc.applicationId:
+        return
+    _OWN["shipped"] = sc.applicationId
+    root = Path(__file__).resolve().parent
+    data = io.BytesIO()
+    with zipfile.ZipFile(data, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, str(Path(root.name) / f.relative_to(root)))
+    at = f"{shared_dir(spark)}/{root.name}-{uuid.uuid4().hex}.zip"
+    path = sc._jvm.org.apache.hadoop.fs.Path(at)
+    out = path.getFileSystem(sc._jsc.hadoopConfiguration()).create(path)
+    out.write(data.getvalue())
+    out.close()
+    sc.addPyFile(at)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table of the data folder. Only the parquet footer is read here."""
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
