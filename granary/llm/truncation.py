@@ -19,6 +19,8 @@ from granary.session import cut
 
 #: A gram decides if it was seen so often at least besides the text itself, and shows a cut if at most this share of it is at ends.
 LEAST_SEEN, MOST_AT_END = 3, 0.1
+#: A last word is a beginning of another that is so many times as frequent in its place.
+FAR_MORE = 5
 
 #: Marks of omission at the end of a text.
 OMITTED = r"(…|\\x{{FFFD}}|\\.\\.\\.|\\[\\s*(more|\\.\\.\\.|…|truncated|cut|snip)\\s*\\]|\\(\\s*(more|truncated|continued|cont\\.?)\\s*\\)|<\\s*(more|truncated)\\s*>|read more|\\[\\+?\\d+ (chars|characters)\\])$"
@@ -72,10 +74,15 @@ def cut_documents(df: DataFrame, id_column: str = "doc_id", text_column: str = "
     view["ends"] = cut(view["ends"], "p10-ends")
     judged = f"CASE WHEN ins + fin < {LEAST_SEEN} THEN NULL ELSE fin <= {MOST_AT_END} * (ins + fin) END"
     # the exact final trigram, its own end left out
-    view["tri"] = sql(f"SELECT doc, kind, w1, w2, w3, inside, known, {judged} AS cut FROM (SELECT e.*, coalesce(c.ins, 0) - CASE WHEN e.inside THEN 1 ELSE 0 END AS ins, coalesce(c.fin, 0) - CASE WHEN e.inside THEN 0 ELSE 1 END AS fin, coalesce(c.ins + c.fin, 0) > 1 AS known FROM {{ends}} e LEFT JOIN {{counts}} c ON e.kind = c.kind AND e.w1 = c.w1 AND e.w2 = c.w2 AND e.w3 = c.w3)")
+    view["tri"] = sql(f"SELECT doc, kind, w1, w2, w3, inside, ins, fin, {judged} AS cut FROM (SELECT e.*, coalesce(c.ins, 0) - CASE WHEN e.inside THEN 1 ELSE 0 END AS ins, coalesce(c.fin, 0) - CASE WHEN e.inside THEN 0 ELSE 1 END AS fin FROM {{ends}} e LEFT JOIN {{counts}} c ON e.kind = c.kind AND e.w1 = c.w1 AND e.w2 = c.w2 AND e.w3 = c.w3)")
     view["rare"] = sql("SELECT * FROM {tri} WHERE cut IS NULL")
-    # unseen: is the last word a proper beginning of a word seen in the same place? The first character bounds the join.
-    view["begun"] = sql("SELECT DISTINCT r.doc FROM {rare} r JOIN {counts} c ON r.w1 = c.w1 AND r.w2 = c.w2 AND substr(r.w3, 1, 1) = substr(c.w3, 1, 1) AND startswith(c.w3, r.w3) AND length(c.w3) > length(r.w3) WHERE NOT (r.w1 = '^' AND r.w2 = '^') AND NOT r.known AND c.ins + c.fin > 1")
+    # nothing goes on after it: is the last word a proper beginning of a far more frequent one in the same place? The first character bounds the joins.
+    view["open"] = sql("SELECT * FROM {tri} WHERE ins <= 0 AND w2 <> '^'")
+    view["pairs"] = sql("SELECT w2, w3, sum(ins) AS ins, sum(ins + fin) AS n FROM {counts} GROUP BY w2, w3")
+    longer = "substr(r.w3, 1, 1) = substr(c.w3, 1, 1) AND startswith(c.w3, r.w3) AND length(c.w3) > length(r.w3)"
+    view["begun"] = sql(f"""
+        SELECT r.doc FROM {{open}} r JOIN {{counts}} c ON r.w1 = c.w1 AND r.w2 = c.w2 AND {longer} WHERE c.ins + c.fin >= {FAR_MORE} * greatest(1, r.fin)
+        UNION SELECT r.doc FROM {{open}} r JOIN {{pairs}} o ON r.w2 = o.w2 AND r.w3 = o.w3 AND o.ins = 0 JOIN {{pairs}} c ON r.w2 = c.w2 AND {longer} WHERE c.n >= {FAR_MORE} * o.n""")
     # or, if no text goes on after it, a proper beginning of a word that is frequent anywhere
     view["words"] = sql("SELECT w3, sum(ins + fin) AS n, sum(ins) AS ins FROM {counts} GROUP BY w3")
     view["starts"] = sql("SELECT DISTINCT explode(transform(sequence(1, length(w3) - 1), i -> substr(w3, 1, i))) AS w3 FROM {words} WHERE n >= 5 AND length(w3) > 1")
@@ -88,8 +95,9 @@ def cut_documents(df: DataFrame, id_column: str = "doc_id", text_column: str = "
         SELECT doc, reason FROM (
           SELECT s.doc, CASE WHEN s.shape IN ('mark', 'code', 'table', 'comma') THEN s.shape
                              WHEN s.shape = 'whole' THEN NULL
-                             WHEN t.cut THEN 'trigram' WHEN NOT t.cut THEN NULL
+                             WHEN t.cut THEN 'trigram'
                              WHEN b.doc IS NOT NULL THEN 'word'
+                             WHEN NOT t.cut THEN NULL
                              WHEN x.whole OR y.whole OR z.whole THEN NULL
                              WHEN p.doc IS NOT NULL THEN 'word'
                              WHEN x.cut THEN 'bigram'
