@@ -19,22 +19,22 @@ from granary.session import cut
 
 #: A gram decides if it was seen so often at least besides the text itself, and shows a cut if at most this share of it is at ends.
 LEAST_SEEN, MOST_AT_END = 3, 0.1
-#: A last word is a beginning of another that is so many times as frequent in its place.
-FAR_MORE = 5
+#: A last word is a beginning of another that is so many times as frequent in its place, and so many times as frequent as text goes on after the last word.
+FAR_MORE, RARELY_ON = 5, 50
 
 #: Marks of omission at the end of a text.
 OMITTED = r"(…|\\x{{FFFD}}|\\.\\.\\.|\\[\\s*(more|\\.\\.\\.|…|truncated|cut|snip)\\s*\\]|\\(\\s*(more|truncated|continued|cont\\.?)\\s*\\)|<\\s*(more|truncated)\\s*>|read more|\\[\\+?\\d+ (chars|characters)\\])$"
 #: Marks that end a sentence, with closing quotes and brackets after them.
 FINAL = r"[.!?。！？।]([\\x22\\x27”’»)\\]*_\\x60]|\\s)*$"
 
-# Fenced code is left out, with its fences; so are blank lines.
+# Marks of omission are left out, so that a cut word before one counts as an end; so are fenced code and blank lines.
 _LINES = r"""
 SELECT doc, line, pos = n - 1 AS last,
        CASE WHEN line RLIKE '^\\s*([-*•+]|[0-9]+[.)])\\s' THEN 'list'
             WHEN line RLIKE '^\\s*\\|' THEN 'table'
             WHEN line RLIKE '^\\s*#+ ' THEN 'heading' ELSE 'prose' END AS kind
 FROM (SELECT doc, size(lines) AS n, posexplode(lines) AS (pos, line)
-      FROM (SELECT doc, filter(split(regexp_replace(text, '(?ms)^[ \\t]*```.*?(^[ \\t]*```[^\\n]*$|\\z)', ''), '\\r\\n|\\n|\\r'), x -> length(trim(x)) > 0) AS lines FROM {texts}))
+      FROM (SELECT doc, filter(split(regexp_replace(regexp_replace(text, '(?i)\\s*OMITTED', ''), '(?ms)^[ \\t]*```.*?(^[ \\t]*```[^\\n]*$|\\z)', ''), '\\r\\n|\\n|\\r'), x -> length(trim(x)) > 0) AS lines FROM {texts}))
 """
 
 # A position is inside if the line goes on after the bare word, by a mark or by a word. Words: lower case, digits as 0.
@@ -56,7 +56,7 @@ def cut_documents(df: DataFrame, id_column: str = "doc_id", text_column: str = "
     view = {"texts": docs.groupBy("doc").agg(F.first("text").alias("text"))}
     view["texts"] = cut(view["texts"], "p10-texts")
     sql = lambda q, **k: spark.sql(q, **(view | k))
-    view["lines"] = sql(_LINES)
+    view["lines"] = sql(_LINES.replace("OMITTED", OMITTED))
     view["grams"] = sql(_GRAMS)
     # of each context and word: how often inside, how often at an end
     view["counts"] = cut(sql("SELECT kind, w1, w2, w3, sum(CASE WHEN inside THEN 1 ELSE 0 END) AS ins, sum(CASE WHEN inside THEN 0 ELSE 1 END) AS fin FROM {grams} WHERE w3 <> '' GROUP BY kind, w1, w2, w3"), "p10-counts")
@@ -76,13 +76,13 @@ def cut_documents(df: DataFrame, id_column: str = "doc_id", text_column: str = "
     # the exact final trigram, its own end left out
     view["tri"] = sql(f"SELECT doc, kind, w1, w2, w3, inside, ins, fin, {judged} AS cut FROM (SELECT e.*, coalesce(c.ins, 0) - CASE WHEN e.inside THEN 1 ELSE 0 END AS ins, coalesce(c.fin, 0) - CASE WHEN e.inside THEN 0 ELSE 1 END AS fin FROM {{ends}} e LEFT JOIN {{counts}} c ON e.kind = c.kind AND e.w1 = c.w1 AND e.w2 = c.w2 AND e.w3 = c.w3)")
     view["rare"] = sql("SELECT * FROM {tri} WHERE cut IS NULL")
-    # nothing goes on after it: is the last word a proper beginning of a far more frequent one in the same place? The first character bounds the joins.
-    view["open"] = sql("SELECT * FROM {tri} WHERE ins <= 0 AND w2 <> '^'")
+    # is the last word a proper beginning of a far more frequent one in the same place, while next to nothing goes on after it? The first character bounds the joins.
+    view["open"] = sql("SELECT * FROM {tri} WHERE NOT coalesce(cut, false) AND w2 <> '^'")
     view["pairs"] = sql("SELECT w2, w3, sum(ins) AS ins, sum(ins + fin) AS n FROM {counts} GROUP BY w2, w3")
     longer = "substr(r.w3, 1, 1) = substr(c.w3, 1, 1) AND startswith(c.w3, r.w3) AND length(c.w3) > length(r.w3)"
     view["begun"] = sql(f"""
-        SELECT r.doc FROM {{open}} r JOIN {{counts}} c ON r.w1 = c.w1 AND r.w2 = c.w2 AND {longer} WHERE c.ins + c.fin >= {FAR_MORE} * greatest(1, r.fin)
-        UNION SELECT r.doc FROM {{open}} r JOIN {{pairs}} o ON r.w2 = o.w2 AND r.w3 = o.w3 AND o.ins = 0 JOIN {{pairs}} c ON r.w2 = c.w2 AND {longer} WHERE c.n >= {FAR_MORE} * o.n""")
+        SELECT r.doc FROM {{open}} r JOIN {{counts}} c ON r.w1 = c.w1 AND r.w2 = c.w2 AND {longer} WHERE c.ins + c.fin >= {FAR_MORE} * greatest(1, r.fin) AND c.ins + c.fin >= {RARELY_ON} * r.ins
+        UNION SELECT r.doc FROM {{open}} r JOIN {{pairs}} o ON r.w2 = o.w2 AND r.w3 = o.w3 JOIN {{pairs}} c ON r.w2 = c.w2 AND {longer} WHERE c.n >= {FAR_MORE} * o.n AND c.n >= {RARELY_ON} * o.ins""")
     # or, if no text goes on after it, a proper beginning of a word that is frequent anywhere
     view["words"] = sql("SELECT w3, sum(ins + fin) AS n, sum(ins) AS ins FROM {counts} GROUP BY w3")
     view["starts"] = sql("SELECT DISTINCT explode(transform(sequence(1, length(w3) - 1), i -> substr(w3, 1, i))) AS w3 FROM {words} WHERE n >= 5 AND length(w3) > 1")
