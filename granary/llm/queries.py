@@ -118,8 +118,19 @@ QUERIES = {
     f.__name__: f
     for f in (p1_found, p1_repaired, p2_found, p2_neighbours, p3_found, p3_by_split_source, p4_found, p5_found, p5_pieces, p6_found, p6_clean, p7_found, p7_one_form, p8_ids, p9_containers, p9_fill, p10_found, p10_by_source)
 }
-#: No SQL: these operators can't be expressed in it; they are tested against brute force, exact round trips and held-out cases.
+#: Exact SQL where there is one. The other operators can't be expressed in it; they are tested against brute force, exact round trips and held-out cases.
 ORACLES: dict[str, str] = {
+    "p2_found": """
+        WITH v AS (SELECT vec_id, CAST(arg_max(embedding, metadata.date_uploaded) AS DOUBLE[]) AS v FROM vector_record GROUP BY vec_id),
+             ok AS (SELECT vec_id, v FROM v WHERE v IS NOT NULL AND list_sum(list_transform(v, lambda x: abs(x))) > 0),
+             top AS (SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b ON a.vec_id <> b.vec_id QUALIFY row_number() OVER (PARTITION BY a.vec_id ORDER BY list_cosine_similarity(a.v, b.v) DESC, b.vec_id) <= 10)
+        SELECT DISTINCT least(a, b) AS vec_id_a, greatest(a, b) AS vec_id_b FROM top""",
+    "p7_found": r"""
+        WITH t AS (SELECT 'entry' AS table_name, entry_id AS row_id, 0 AS chunk_no, description AS text FROM entry
+                   UNION ALL SELECT 'book_subpart', subpart_id, CAST(i - 1 AS INTEGER), content[i] FROM (SELECT subpart_id, content, unnest(range(1, len(content) + 1)) AS i FROM book_subpart))
+        SELECT DISTINCT table_name, row_id, chunk_no FROM t
+        WHERE regexp_matches(text, '[\x{FF01}-\x{FF5E}\p{M}\p{Cf}]') OR regexp_matches(replace(text, ' ', ''), '\p{Zs}')
+           OR regexp_matches(regexp_replace(text, '\p{Cf}', '', 'g'), '\p{Latin}[\p{L}\p{M}]*[\p{Cyrillic}\p{Greek}\p{Armenian}]|[\p{Cyrillic}\p{Greek}\p{Armenian}][\p{L}\p{M}]*\p{Latin}')""",
     "p5_found": """
         SELECT DISTINCT 'book_subpart' AS table_name, subpart_id AS row_id, CAST(i - 1 AS INTEGER) AS chunk_no FROM (SELECT subpart_id, content, unnest(range(1, len(content) + 1)) AS i FROM book_subpart) WHERE length(content[i]) > 2000
         UNION SELECT 'vector_record', vec_id, 0 FROM vector_record WHERE length(metadata.text) > 2000""",
