@@ -34,21 +34,24 @@ def truncated_normal(spark, n: int, mean: float = 0.25, sd: float = 0.45, seed:
 def nearest_pick(cdf: DataFrame, samples: DataFrame, cells: int = 4096) -> DataFrame:
     """sample_no, id: the row whose cdf is nearest to each sample, of two equally near ones the later.
 
-    A nearest as-of join: samples and rows are put into equal cells of (0, 1]; a sample meets the rows of its own cell and,
-    beyond them, the last row before and the first row after the cell, which are found by a window over the cells. At equal
-    cdf the row of lowest rank counts.
+    A nearest as-of join without pairs: samples and rows are put into equal cells of (0, 1] and sorted there together; the
+    last row before and the first row after a sample follow by running windows, and from the cells' edges where a cell
+    has none. At equal cdf the row of lowest rank counts.
     """
     cell = lambda c: F.least(F.greatest(F.floor(c * cells), F.lit(0)), F.lit(cells - 1)).cast("int")
-    rows = cdf.groupBy("cdf").agg(F.min_by("id", "rank").alias("id")).select("id", "cdf", cell(F.col("cdf")).alias("cell"))
-    edges = rows.groupBy("cell").agg(F.min(F.struct("cdf", "id")).alias("first"), F.max(F.struct("cdf", "id")).alias("last"))
+    rows = cdf.groupBy("cdf").agg(F.min_by("id", "rank").alias("id")).select(cell(F.col("cdf")).alias("cell"), F.col("cdf").alias("v"), F.struct("cdf", "id").alias("x"), F.lit(None).cast("bigint").alias("sample_no"))
+    edges = rows.groupBy("cell").agg(F.min("x").alias("first"), F.max("x").alias("last"))
     every = cdf.sparkSession.range(cells).select(F.col("id").cast("int").alias("cell")).join(F.broadcast(edges), "cell", "left")
-    order = Window.orderBy("cell")  # as many rows as there are cells
-    near = every.select("cell", F.last("last", True).over(order.rowsBetween(Window.unboundedPreceding, -1)).alias("before"), F.first("first", True).over(order.rowsBetween(1, Window.unboundedFollowing)).alias("after"))
-    s = samples.withColumn("cell", cell(F.col("value")))
-    outer = s.join(F.broadcast(near), "cell").select("sample_no", "value", F.explode(F.array("before", "after")).alias("x")).where("x IS NOT NULL").select("sample_no", "value", F.col("x.cdf").alias("cdf"), F.col("x.id").alias("id"))
-    inner = s.join(rows, "cell").select("sample_no", "value", "cdf", "id")
-    gap = F.round(F.abs(F.col("value") - F.col("cdf")), 12)
-    return inner.unionByName(outer).groupBy("sample_no").agg(F.min_by("id", F.struct(gap, (-F.col("cdf")))).alias("id"))
+    so_far = (Window.unboundedPreceding, 0)
+    earlier = Window.orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)  # as many rows as there are cells
+    later = Window.orderBy(F.desc("cell")).rowsBetween(Window.unboundedPreceding, -1)
+    near = every.select("cell", F.last("last", True).over(earlier).alias("before"), F.last("first", True).over(later).alias("after"))
+    both = rows.unionByName(samples.select(cell(F.col("value")).alias("cell"), F.col("value").alias("v"), "sample_no"), allowMissingColumns=True)
+    up = Window.partitionBy("cell").orderBy(F.asc("v"), F.asc_nulls_first("sample_no")).rowsBetween(*so_far)
+    down = Window.partitionBy("cell").orderBy(F.desc("v"), F.asc_nulls_first("sample_no")).rowsBetween(*so_far)
+    placed = both.withColumn("prev", F.last("x", True).over(up)).withColumn("next", F.last("x", True).over(down)).where("sample_no IS NOT NULL").join(F.broadcast(near), "cell")
+    two = placed.select("sample_no", "v", F.explode(F.array(F.coalesce("prev", "before"), F.coalesce("next", "after"))).alias("y")).where("y IS NOT NULL")
+    return two.groupBy("sample_no").agg(F.min_by("y.id", F.struct(F.round(F.abs(F.col("v") - F.col("y.cdf")), 12), -F.col("y.cdf"))).alias("id"))
 
 
 def guided_sample(pdf: DataFrame, n: int, seed: int = 0, rounds: int = 12) -> DataFrame:
