@@ -38,13 +38,13 @@ FROM (SELECT doc, size(lines) AS n, posexplode(lines) AS (pos, line)
 """
 
 # A position is inside if the line goes on after the bare word, by a mark or by a word. Words: lower case, digits as 0.
+# The words are zipped with themselves, shifted, so that no row carries a whole line.
 _GRAMS = r"""
-SELECT doc, last, kind, i, n, w[i] AS raw,
-       CASE WHEN i > 1 THEN w[i - 2] ELSE '^' END AS w1, CASE WHEN i > 0 THEN w[i - 1] ELSE '^' END AS w2,
-       regexp_replace(w[i], '[\\p{{P}}&&[^`#@/_-]]+$', '') AS w3,
-       i < n - 1 OR w[i] RLIKE '[\\p{{P}}&&[^`#@/_-]]$' AS inside
-FROM (SELECT doc, last, kind, w, size(w) AS n, posexplode(w) AS (i, word)
+SELECT doc, last, kind, w1, w2, regexp_replace(w, '[\\p{{P}}&&[^`#@/_-]]+$', '') AS w3, next IS NULL AS final,
+       next IS NOT NULL OR w RLIKE '[\\p{{P}}&&[^`#@/_-]]$' AS inside
+FROM (SELECT doc, last, kind, inline(arrays_zip(concat(array('^', '^'), w), concat(array('^'), w), w, slice(w, 2, size(w)))) AS (w1, w2, w, next)
       FROM (SELECT doc, last, kind, split(trim(regexp_replace(regexp_replace(lower(line), '[0-9]', '0'), '\\s+', ' ')), ' ') AS w FROM {lines}))
+WHERE w IS NOT NULL
 """
 
 
@@ -70,7 +70,7 @@ def cut_documents(df: DataFrame, id_column: str = "doc_id", text_column: str = "
                          WHEN text RLIKE '[,;:]$' THEN 'comma'
                          WHEN text RLIKE '{FINAL}' AND NOT lower(text) RLIKE '(version|v|step|revision) [0-9]+\\.$' THEN 'whole' END AS shape
         FROM (SELECT doc, text, element_at(split(text, '\\r\\n|\\n|\\r'), -1) AS tail FROM {{texts}})""")
-    view["ends"] = sql("SELECT g.doc, g.kind, g.w1, g.w2, g.w3, g.inside FROM {grams} g JOIN {shape} s ON g.doc = s.doc AND s.shape IS NULL WHERE g.last AND g.i = g.n - 1")
+    view["ends"] = sql("SELECT g.doc, g.kind, g.w1, g.w2, g.w3, g.inside FROM {grams} g JOIN {shape} s ON g.doc = s.doc AND s.shape IS NULL WHERE g.last AND g.final")
     view["ends"] = cut(view["ends"], "p10-ends")
     judged = f"CASE WHEN ins + fin < {LEAST_SEEN} THEN NULL ELSE fin <= {MOST_AT_END} * (ins + fin) END"
     # the exact final trigram, its own end left out
