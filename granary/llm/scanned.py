@@ -89,6 +89,8 @@ class Repairer:
     def __init__(self, counts: dict[str, int], vectors: dict[str, np.ndarray]):
         self.counts, self.vectors = counts, vectors
         self.alike: dict[str, set[str]] = {}
+        #: The neighbours of the vocabulary's words that were asked for, at most as many as it has words.
+        self.linked: dict[str, list[str]] = {}
         for w, n in counts.items():
             if n >= LEAST:
                 for key in glyph_keys(w):
@@ -96,9 +98,14 @@ class Repairer:
 
     def neighbours(self, word: str) -> list[str]:
         """Words at glyph edits from a word that are much more frequent, the most frequent first."""
+        if (links := self.linked.get(word)) is not None:
+            return links
         need = RATIO * max(1, self.counts.get(word, 0))
         found = {z for key in glyph_keys(word) for z in self.alike.get(key, ())}
-        return sorted((z for z in found if z != word and self.counts[z] >= need), key=lambda z: (-self.counts[z], z))
+        links = sorted((z for z in found if z != word and self.counts[z] >= need), key=lambda z: (-self.counts[z], z))
+        if word in self.counts:
+            self.linked[word] = links
+        return links
 
     def correct(self, word: str, context: list[str]) -> str | None:
         """The word that a misread one stands for, by its context; None if it isn't misread."""
@@ -220,7 +227,7 @@ class Repairer:
         words = [m.group().lower() for m in found]
         out, at = [], 0
         for n, m in enumerate(found):
-            if self.counts.get(words[n], 0) >= RATIO * 50 and words[n].isalpha():
+            if words[n] in self.counts and not self.neighbours(words[n]):
                 continue
             right = self.correct(m.group(), words[max(0, n - CONTEXT) : n] + words[n + 1 : n + 1 + CONTEXT])
             if right:

@@ -187,6 +187,12 @@ def test_scanned_text_that_is_no_noise():
     assert repairer().repair("привет мир", []) == ("привет мир", [])
 
 
+@pytest.mark.parametrize("scale", [1, 100, 10_000])
+def test_scanned_misreadings_are_found_at_any_size(scale):
+    fixer = scanned.Repairer({w: n * scale for w, n in {"for": 5000, "tor": 35, "replica": 900, "rcplica": 11, "waits": 800, "the": 9000}.items()}, {})
+    assert fixer.repair("the rcplica waits tor the", []) == ("the replica waits for the", ["ocr"])
+
+
 def test_scanned_break_across_furniture():
     out, noise = repairer().repair("the work-\n\nxiv\n\nload of a node", [])
     assert out == "the workload of a node" and noise == ["hyphen", "pageno"]
