@@ -1,14 +1,16 @@
 """Template residue, filler, error pages and script notices in place of questions (problem 6).
 
 The lines of each text are normalised (lower case, digits as 0, long hexadecimal ids as #) and counted by host, here the
-source that delivered the record. A line that stands beside different other lines in several records of its host is
-recurrent boilerplate and is subtracted; if nothing else is left, the whole record counts as its residual. A record is
-excluded if its residual has evidence of a placeholder, of template text, of filler, of an error page or of a notice that
-scripts, cookies or a browser check are required. Words about such things inside a real request are no evidence, but an
-unfilled placeholder is one anywhere.
+source that delivered the record. A line that stands beside different other lines in a share of its host's records is
+recurrent boilerplate and is subtracted, unless it is evidence by itself; if nothing else is left, the whole record counts
+as its residual. Records that differ in digits or ids alone are one. A record is excluded if its residual or its whole
+text has evidence of a placeholder, of template text, of filler, of an error page or of a notice that scripts, cookies or
+a browser check are required. Words about such things inside a real request are no evidence, but an unfilled placeholder
+is one anywhere. A request in no known form beside a line of evidence is excluded, however often that line recurs.
 
 Cases: null and blank texts are no residue and stay; a null source is a host of its own; repeated records are judged
-alike; an empty table gives no rows. All is expressed in columns; only records of several lines are shuffled.
+alike; an empty table gives no rows. All is expressed in columns; texts are shuffled only of records of several lines,
+and of all others their hashes.
 """
 
 from __future__ import annotations
@@ -18,8 +20,8 @@ from operator import or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-#: A line is boilerplate if it stands in so many different records of several lines of its host.
-RECURRENT = 3
+#: A line is boilerplate if it stands in so many different records of several lines of its host, and in this share of all its different records.
+RECURRENT, RECURRENT_SHARE = 3, 0.01
 #: The share of filler words from which a text is filler.
 FILLER_SHARE = 0.5
 
@@ -131,12 +133,18 @@ def residue(df: DataFrame, id_column: str, text_column: str, host_column: str) -
     rows = rows.withColumn("lines", lines)
     single = rows.where(F.size("lines") == 1).select("id", "text")
     several = rows.where(F.size("lines") > 1)
-    spread = several.select("id", "host", F.xxhash64("text").alias("record"), "text", F.posexplode("lines").alias("pos", "line")).withColumn("norm", F.xxhash64(normalised_line(F.col("line"))))
+    norms = F.transform("lines", lambda x: F.xxhash64(normalised_line(x)))
     # distinct records first, so that a repeated record counts once
-    counts = spread.groupBy("host", "norm").agg(F.countDistinct("record").alias("n")).where(F.col("n") >= RECURRENT)
-    left = spread.join(counts, ["host", "norm"], "left").groupBy("id").agg(F.first("text").alias("text"), F.array_sort(F.collect_list(F.when(F.col("n").isNull(), F.struct("pos", "line")))).alias("kept"))
-    residual = left.select("id", F.when(F.size("kept") > 0, F.array_join(F.col("kept.line"), "\n")).otherwise(F.col("text")).alias("text"))
-    return single.unionByName(residual).select(F.col("id").alias(id_column), evidence(F.col("text")).alias("kind")).where("kind IS NOT NULL")
+    records = rows.where(F.size("lines") > 0).select("host", norms.alias("norms")).withColumn("record", F.xxhash64("norms")).groupBy("host", "record").agg(F.first("norms").alias("norms"))
+    counts = records.where(F.size("norms") > 1).select("host", F.explode(F.array_distinct("norms")).alias("norm")).groupBy("host", "norm").agg(F.count("*").alias("n")).where(F.col("n") >= RECURRENT)
+    totals = records.groupBy("host").agg(F.count("*").alias("total"))
+    counts = counts.join(totals, "host").where(F.col("n") >= RECURRENT_SHARE * F.col("total")).select("host", "norm", "n")
+    spread = several.select("id", "host", "text", F.posexplode("lines").alias("pos", "line")).withColumn("norm", F.xxhash64(normalised_line(F.col("line"))))
+    stays = F.col("n").isNull() | evidence(F.col("line")).isNotNull()
+    left = spread.join(counts, ["host", "norm"], "left").groupBy("id").agg(F.first("text").alias("text"), F.array_sort(F.collect_list(F.when(stays, F.struct("pos", "line")))).alias("kept"))
+    residual = left.select("id", F.when(F.size("kept") > 0, F.array_join(F.col("kept.line"), "\n")).otherwise(F.col("text")).alias("residual"), "text")
+    found = residual.select("id", F.coalesce(evidence(F.col("residual")), evidence(F.col("text"))).alias("kind"))
+    return single.select("id", evidence(F.col("text")).alias("kind")).unionByName(found).where("kind IS NOT NULL").select(F.col("id").alias(id_column), "kind")
 
 
 def without_residue(df: DataFrame, id_column: str, text_column: str, host_column: str) -> DataFrame:

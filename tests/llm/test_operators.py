@@ -64,6 +64,15 @@ def test_residue(spark):
     assert residue.residue(df.limit(0), "entry_id", "question", "source").count() == 0
 
 
+def test_residue_keeps_recurrent_evidence(spark):
+    pages = ["# Access denied\nstatus=1020 Retry after 984 seconds.", "# Access denied\nstatus=1020", "# Access denied\nReference ab12cd34ef56", "# Access denied\nRequest id 99aa88bb77cc.\nTrace: 11aa22bb33cc", "Which page are you looking for?\n# Access denied\nstatus=1020"]
+    asked = [f"How do I reach the mirror?\n{x}" for x in ("404 Not Found", "502 Bad Gateway", "Gateway Timeout (504)", "410 Gone")]
+    other = [f"How do I list {a} in {b}?" for a in WORDS for b in WORDS[:10]]
+    small = [(i, t, "small") for i, t in enumerate(pages + [f"Which page are you looking for?\nHow do I list {w}?" for w in WORDS[:3]])]
+    df = spark.createDataFrame(small + [(100 + i, t, "large") for i, t in enumerate(pages[:4] + asked + other)], "entry_id bigint, question string, source string")
+    assert [r[0] for r in rows(residue.residue(df, "entry_id", "question", "source"), "entry_id")] == [0, 1, 2, 3, 4, 100, 101, 102, 103]
+
+
 def test_lookalike_table(spark):
     plain = [(i, "The scope of the class stays the same.") for i in range(6)]
     odd = [(10, "The ѕсоре of it"), (11, "the сlаѕѕ"), (12, "тест «привет»"), (13, None), (14, ""), (15, "ｗｉｄｅ é")]
