@@ -1,9 +1,9 @@
 """Template residue, filler, error pages and script notices in place of questions (problem 6).
 
 The lines of each text are normalised (lower case, digits as 0, long hexadecimal ids as #) and counted by host, here the
-source that delivered the record. A line that stands beside different other lines in a share of its host's records is
+source that delivered the record. A line that stands in a share of its host's different records is
 recurrent boilerplate and is subtracted, unless it is evidence by itself; if nothing else is left, the whole record counts
-as its residual. Records that differ in digits or ids alone are one. A record is excluded if its residual or its whole
+as its residual: so nothing is ever subtracted from a record of one line, though its line is counted. Records that differ in digits or ids alone are one. A record is excluded if its residual or its whole
 text has evidence of a placeholder, of template text, of filler, of an error page or of a notice that scripts, cookies or
 a browser check are required. Words about such things inside a real request are no evidence, but an unfilled placeholder
 is one anywhere. A request in no known form beside a line of evidence is excluded, however often that line recurs.
@@ -20,7 +20,7 @@ from operator import or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-#: A line is boilerplate if it stands in so many different records of several lines of its host, and in this share of all its different records.
+#: A line is boilerplate if it stands in so many different records of its host, and in this share of them.
 RECURRENT, RECURRENT_SHARE = 3, 0.01
 #: The share of filler words from which a text is filler.
 FILLER_SHARE = 0.5
@@ -136,7 +136,7 @@ def residue(df: DataFrame, id_column: str, text_column: str, host_column: str) -
     norms = F.transform("lines", lambda x: F.xxhash64(normalised_line(x)))
     # distinct records first, so that a repeated record counts once
     records = rows.where(F.size("lines") > 0).select("host", norms.alias("norms")).withColumn("record", F.xxhash64("norms")).groupBy("host", "record").agg(F.first("norms").alias("norms"))
-    counts = records.where(F.size("norms") > 1).select("host", F.explode(F.array_distinct("norms")).alias("norm")).groupBy("host", "norm").agg(F.count("*").alias("n")).where(F.col("n") >= RECURRENT)
+    counts = records.select("host", F.explode(F.array_distinct("norms")).alias("norm")).groupBy("host", "norm").agg(F.count("*").alias("n")).where(F.col("n") >= RECURRENT)
     totals = records.groupBy("host").agg(F.count("*").alias("total"))
     counts = counts.join(totals, "host").where(F.col("n") >= RECURRENT_SHARE * F.col("total")).select("host", "norm", "n")
     spread = several.select("id", "host", "text", F.posexplode("lines").alias("pos", "line")).withColumn("norm", F.xxhash64(normalised_line(F.col("line"))))

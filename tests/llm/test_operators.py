@@ -73,6 +73,12 @@ def test_residue_keeps_recurrent_evidence(spark):
     assert [r[0] for r in rows(residue.residue(df, "entry_id", "question", "source"), "entry_id")] == [0, 1, 2, 3, 4, 100, 101, 102, 103]
 
 
+def test_residue_counts_records_of_one_line(spark):
+    data = [(i, t, "h") for i, t in enumerate(["Which page are you looking for?", "Which page are you looking for?\nundefined", "Which page are you looking for?\nHow do I list kilo?"])]
+    df = spark.createDataFrame(data, "entry_id bigint, question string, source string")
+    assert rows(residue.residue(df, "entry_id", "question", "source"), "entry_id", "kind") == [(1, "template")]
+
+
 def test_lookalike_table(spark):
     plain = [(i, "The scope of the class stays the same.") for i in range(6)]
     odd = [(10, "The ѕсоре of it"), (11, "the сlаѕѕ"), (12, "тест «привет»"), (13, None), (14, ""), (15, "ｗｉｄｅ é")]
