@@ -330,6 +330,18 @@ def answer_extract(spark, d):
     return e.select("entry_id", X.answer(said, F.length("question")).alias("answer"))
 
 
+_SAID = "SELECT entry_id, prompt, prompt || chr(10) || chain_of_thought || chr(10) || '#End of text' AS s FROM (SELECT *, CASE WHEN contains(question, '0') THEN '[INST] ' || question || chr(10) || ' Lets think step by step. [/INST] ### Answer:' WHEN contains(question, '1') THEN '[INST] Answer the following question: ' || question || ' [/INST]' || chr(10) || 'Answer: ' ELSE '[INST] ' || question || ' [/INST]' END AS prompt FROM entry WHERE question IS NOT NULL AND chain_of_thought IS NOT NULL)"
+
+
+@query(f"WITH said AS ({_SAID}), spans AS (SELECT *, CASE WHEN contains(s, '# Command:') THEN strpos(s, '# Command:') + 10 WHEN contains(s, '### Answer:') THEN strpos(s, '### Answer:') + 11 ELSE length(prompt) + 1 END AS b, strpos(s, '#End') AS e FROM said) SELECT entry_id, {_STRIP.format('CASE WHEN e > b THEN substr(s, b, e - b) ELSE chr(32) END')} AS answer FROM spans")
+def answer_extract_all(spark, d):
+    """All rows with a question and a reply: the marks decide wherever they stand, and prompts without an answer mark go by their length."""
+    e = _entry(spark, d, "entry_id", "question", "chain_of_thought").where("chain_of_thought IS NOT NULL AND question IS NOT NULL")
+    e = e.withColumn("prompt", prompts.routed_prompt(F.col("question"), prompts.route(F.col("question"))))
+    said = F.concat("prompt", F.lit("\n"), "chain_of_thought", F.lit("\n#End of text"))
+    return e.select("entry_id", X.answer(said, F.length("prompt")).alias("answer"))
+
+
 # --- book text
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from granary.functions import text as X
 from granary.operators import boundary, dedupe, evaluate, html, prompts, retrieval, rules, sampling, scoring, segment
+from granary.plans import catalogue
 from granary.sources import readers
 from granary.streaming import events
 
@@ -41,6 +42,22 @@ def test_answer_marks(spark):
     assert ask("q? rest") == "rest" and ask("q ### Answer: a #End b") == "a" and ask("q ### Answer: a # Command: c") == "c" and ask("#End # Command: x") == ""
 
 
+def test_answers_of_all_rows_equal_brute_force(spark, tmp_path):
+    texts = ["plain", "a0", "b1", "#End", "q 0 # Command: x", "1 ### Answer: y", "# Command: a #End b # Command: c", "", " x\n### Answer:\ny ", "# Command 2"]
+    data = [(i * 100 + j, q, r) for i, q in enumerate([*texts, None]) for j, r in enumerate([*texts, None])]
+    spark.createDataFrame(data, "entry_id bigint, question string, chain_of_thought string").write.parquet(f"{tmp_path}/entry.parquet")
+
+    def truth(q, r):
+        prompt = f"[INST] {q}\n Lets think step by step. [/INST] ### Answer:" if "0" in q else f"[INST] Answer the following question: {q} [/INST]\nAnswer: " if "1" in q else f"[INST] {q} [/INST]"
+        said = f"{prompt}\n{r}\n#End of text"
+        start = said.index("### Answer:") + 11 if "### Answer:" in said else len(prompt)
+        start = said.index("# Command:") + 10 if "# Command:" in said else start
+        return said[start : said.index("#End")].strip()
+
+    got = {r.entry_id: r.answer for r in catalogue.queries()["answer_extract_all"](spark, str(tmp_path)).collect()}
+    assert got == {i: truth(q, r) for i, q, r in data if q is not None and r is not None}
+
+
 DOCS = [(1, "get pods a a/b 12"), (2, "get pods"), (3, "12 12 x"), (4, ""), (5, None), (6, "get")]
 
 
