@@ -153,22 +153,54 @@ def read_pair(question: str, response: str | None, command: str | None, sub: str
     }
 
 
+def bucket_links(names: list[str], sets: list[set]) -> Iterator[tuple[str, str]]:
+    """Verified links that connect the members of a bucket as all its similar pairs would: each member is compared with those that nothing reached yet."""
+    left = set(range(len(names)))
+    reached: list[int] = []
+    while left or reached:
+        at = reached.pop() if reached else left.pop()
+        near = [i for i in left if len(sets[at] & sets[i]) >= SIMILAR * len(sets[at] | sets[i])]
+        left.difference_update(near)
+        reached += near
+        yield from ((names[at], names[i]) for i in near)
+
+
+def components(links: DataFrame) -> DataFrame:
+    """node, cluster: the nodes of links (a, b) with the least node that a path leads to."""
+    both = cut(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "p4-links")
+    label = cut(both.groupBy(F.col("a").alias("node")).agg(F.least(F.first("a"), F.min("b")).alias("cluster")), "p4-label")
+    while True:
+        near = both.join(label, F.col("b") == F.col("node")).groupBy("a").agg(F.min("cluster").alias("near"))
+        step = label.join(near, F.col("node") == F.col("a")).select("node", F.col("cluster").alias("was"), F.least("cluster", "near").alias("cluster"))
+        # the cluster of the cluster, so that long chains take few rounds
+        step = cut(step.join(label.select(F.col("node").alias("cluster"), F.col("cluster").alias("top")), "cluster").select("node", "was", F.col("top").alias("cluster")), "p4-label")
+        label = step.select("node", "cluster")
+        if step.where("was <> cluster").isEmpty():
+            return label
+
+
 def minhash_clusters(openings: DataFrame, column: str = "opening") -> DataFrame:
-    """`column`, cluster: distinct openings with the least opening that they were verified to be like.
+    """`column`, cluster: distinct openings with the least opening that verified links lead to.
 
-    Each band's bucket links its members to its least member, so no pairs within a bucket are made; the links of the
-    bands are chained once.
+    The members of each band's bucket are linked as far as they are alike, whichever of them that is; the links of all
+    buckets are followed to their ends. A bucket of members that are all alike takes one comparison for each member.
     """
     words = F.split(column, " ")
     shingles = F.when(F.size(words) < SHINGLE, F.array(F.xxhash64(F.col(column)))).otherwise(F.expr(f"transform(sequence(1, size(split({column}, ' ')) - {SHINGLE - 1}), i -> xxhash64(array_join(slice(split({column}, ' '), i, {SHINGLE}), ' ')))"))
     base = openings.select(column, F.array_distinct(shingles).alias("sh"))
-    bands = F.array(*(F.xxhash64(F.lit(b), *(F.array_min(F.transform("sh", lambda s, k=b * ROWS + r: F.xxhash64(s, F.lit(k)))) for r in range(ROWS))) for b in range(BANDS)))
+    least = lambda k: F.array_min(F.transform("sh", lambda s: F.xxhash64(s, F.lit(k))))  # noqa: E731 - a second parameter of the inner one would be the position
+    bands = F.array(*(F.xxhash64(F.lit(b), *(least(b * ROWS + r) for r in range(ROWS))) for b in range(BANDS)))
     spread = base.select(column, "sh", F.explode(bands).alias("bucket"))
-    least = spread.groupBy("bucket").agg(F.min_by("sh", column).alias("least_sh"), F.min(column).alias("least"))
-    like = F.size(F.array_intersect("sh", "least_sh")) >= SIMILAR * F.size(F.array_union("sh", "least_sh"))
-    first = spread.join(least, "bucket").groupBy(column).agg(F.coalesce(F.min(F.when(like, F.col("least"))), F.col(column)).alias("cluster"))
-    up = first.select(F.col(column).alias("cluster"), F.col("cluster").alias("top"))
-    return first.join(up, "cluster", "left").select(column, F.coalesce("top", "cluster").alias("cluster"))
+    buckets = spread.groupBy("bucket").agg(F.collect_list(F.struct(F.col(column).alias("name"), "sh")).alias("members")).where(F.size("members") > 1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for members in batch.column(0):
+                found = list(bucket_links([m["name"].as_py() for m in members], [set(m["sh"].as_py()) for m in members]))
+                yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.string()) for i in (0, 1)], names=["a", "b"])
+
+    linked = components(buckets.select("members").mapInArrow(run, "a string, b string"))
+    return openings.select(column).join(linked, F.col(column) == F.col("node"), "left").select(column, F.coalesce("cluster", column).alias("cluster"))
 
 
 def defects(df: DataFrame, id_column: str = "entry_id", question: str = "question", response: str = "chain_of_thought", command: str = "command", command_name: str = "command_name", objective: str = "objective") -> DataFrame:

@@ -153,6 +153,18 @@ def test_minhash_clusters_are_verified(spark):
     assert len(got) == 4 and got[a] == got[a + " more"] and len(set(got.values())) == 3
 
 
+def test_minhash_links_are_followed_to_their_ends(spark):
+    chain = [" ".join(f"w{i:02}" for i in range(k, k + 40)) for k in range(12)]
+    got = dict(rows(pairs.minhash_clusters(spark.createDataFrame([(t,) for t in chain], "opening string")), "opening", "cluster"))
+    assert got == {t: chain[0] for t in chain}
+
+
+def test_bucket_links_without_the_least_member():
+    sets = {"a": set(range(50, 70)), "b": set(range(20)), "c": set(range(19)), "d": set(range(1, 20)), "e": set(range(90, 99))}
+    found = {frozenset(p) for p in pairs.bucket_links(list(sets), list(sets.values()))}
+    assert set().union(*found) == {"b", "c", "d"} and len(found) == 2
+
+
 def vector_truth(ids, x, k):
     x = x / np.linalg.norm(x, axis=1, keepdims=True)
     sim = np.round(x @ x.T, 7)
