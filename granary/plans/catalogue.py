@@ -312,6 +312,19 @@ def prompt_instruction(spark, d):
     return rows.select("entry_id", F.md5(prompts.instruction_prompt(F.col("objective"), F.col("command"), F.col("examples"), F.lit(False))).alias("prompt_md5"))
 
 
+_BY_KIND = "e AS (SELECT *, md5('0|kind|' || entry_id) < '8' AS k FROM entry), ex AS (SELECT id, string_agg(t, chr(10) || chr(10) ORDER BY place) AS examples FROM (SELECT entry_id AS id, 'General idea: ' || general_form || chr(10) || 'Command: ' || f.command || chr(10) || 'Instruction: ' || instruction AS t, row_number() OVER (PARTITION BY entry_id ORDER BY md5('0|' || entry_id || '|' || example_id), example_id) AS place FROM e JOIN few_shot_example f ON k = coalesce(specific, false) QUALIFY place <= 3) GROUP BY id)"
+
+
+@query(f"WITH {_BY_KIND} SELECT entry_id, k AS specific, md5(CASE WHEN k THEN 'For a given command and the general idea, provide in instruction for which the command is the answer, please include the parameters in your instruction' ELSE 'For a given command, provide in instruction for which the command is the answer, please give a general instruction as your answer' END || chr(10) || chr(10) || examples || chr(10) || chr(10) || 'General idea: ' || coalesce(objective, 'None') || chr(10) || 'Command: ' || coalesce(command, 'None') || chr(10) || 'Instruction: ') AS prompt_md5 FROM e JOIN ex ON entry_id = id")
+def prompt_instruction_by_kind(spark, d):
+    """A kind for each entry by hash, with examples and lead of that kind."""
+    e = _entry(spark, d, "entry_id", "objective", "command").withColumn("specific", F.md5(F.concat(F.lit("0|kind|"), F.col("entry_id").cast("string"))) < "8")
+    ex = table(spark, d, "few_shot_example").withColumn("specific", F.coalesce("specific", F.lit(False)))
+    general, specific = (sampling.few_shot(e.where(of), ex.where(of), "entry_id", "example_id") for of in (~F.col("specific"), F.col("specific")))
+    rows = e.join(prompts.examples_block(general.unionByName(specific), ex, False), F.col("entry_id") == F.col("id"))
+    return rows.select("entry_id", "specific", F.md5(prompts.instruction_prompt(F.col("objective"), F.col("command"), F.col("examples"), F.col("specific"))).alias("prompt_md5"))
+
+
 @query("SELECT entry_id, '#Steps:' || chr(10) || chain_of_thought || chr(10) || '#Code:' || chr(10) || command AS label FROM entry")
 def label_template(spark, d):
     return _entry(spark, d).select("entry_id", prompts.label_text(F.col("chain_of_thought"), F.col("command")).alias("label"))

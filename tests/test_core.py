@@ -233,6 +233,11 @@ def test_flags(spark):
         df.select(prompts.relevant_flags(F.col("command"), F.col("flags"), strict=True)).collect()
 
 
+def test_instruction_prompts_are_of_both_kinds(spark):
+    got = catalogue.queries()["prompt_instruction_by_kind"](spark, "/root/testdata/sf0.001").groupBy("specific").count().collect()
+    assert {r.specific for r in got} == {True, False}
+
+
 def test_routes(spark):
     df = spark.createDataFrame([("0 1",), ("1",), ("x",)], "r string").select(prompts.route(F.col("r")).alias("k"))
     assert [r.k for r in df.collect()] == [0, 1, 2]
