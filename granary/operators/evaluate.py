@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from collections import Counter
+
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
@@ -57,3 +60,35 @@ def rouge_l(df: DataFrame, id_column: str, reference: str, candidate: str) -> Da
             yield pd.DataFrame({"id": pdf["id"], "rouge": score})
 
     return df.select(F.col(id_column).alias("id"), w(reference).alias("r"), w(candidate).alias("c")).mapInPandas(run, f"id {dict(df.dtypes)[id_column]}, rouge double")
+
+
+def _lcs_places(a: list, b: list) -> set[int]:
+    """Positions in a of a longest common subsequence with b."""
+    t = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    for i, x in enumerate(a, 1):
+        for j, y in enumerate(b, 1):
+            t[i][j] = t[i - 1][j - 1] + 1 if x == y else max(t[i - 1][j], t[i][j - 1])
+    i, j, places = len(a), len(b), set()
+    while i and j:
+        if a[i - 1] == b[j - 1]:
+            i, j = i - 1, j - 1
+            places.add(i)
+        elif t[i][j - 1] > t[i - 1][j]:
+            j -= 1
+        else:
+            i -= 1
+    return places
+
+
+def rouge_lsum(reference: str | None, candidate: str | None) -> float:
+    """ROUGE-Lsum of a pair: F-measure of the union of each reference line's common subsequences with all candidate lines; a word counts as often as both texts have it."""
+    ref, can = ([w for line in (t or "").lower().split("\n") if (w := re.findall("[a-z0-9]+", line))] for t in (reference, candidate))
+    has, may = (Counter(w for line in lines for w in line) for lines in (ref, can))
+    hits = 0
+    for line in ref:
+        for i in sorted(set().union(*(_lcs_places(line, c) for c in can))):
+            if has[line[i]] > 0 and may[line[i]] > 0:
+                hits += 1
+                has[line[i]] -= 1
+                may[line[i]] -= 1
+    return round(2 * hits / (sum(map(len, ref)) + sum(map(len, can))), 6) if hits else 0.0

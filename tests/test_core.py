@@ -259,6 +259,12 @@ def test_rouge(spark):
     assert get(evaluate.rouge_l(df, "id", "r", "c")) == {1: 0.666667, 2: 0.0, 3: 0.8}
 
 
+def test_rouge_of_several_lines():
+    assert evaluate.rouge_lsum("w1 w2 w3 w4 w5", "w1 w2 w6 w7 w8\nw1 w3 w8 w9 w5") == round(8 / 15, 6)
+    assert evaluate.rouge_lsum("b c\na", "a\nb c") == 1.0 and evaluate.rouge_lsum("a a", "a") == round(2 / 3, 6)
+    assert evaluate.rouge_lsum(None, "a") == evaluate.rouge_lsum("\n", "") == 0.0
+
+
 def test_pages(spark):
     page = "<h1>lost</h1><p>x<hr><h1>get</h1><p>Shows <b>it</b> [http://a b]</p><h2 id='usage'>U</h2><code>$ get NAME</code><h2 id=flags>F</h2><table><tr><td>all</td><td></td><td>false</td><td>All &lt;x&gt;</td></tr><tr><td>odd</td></tr></table><h2 id='examples'>E</h2><p>One</p><code>get a</code><p>Two</p><p>Three</p><code>get b</code><h1>none</h1><p>no examples</p>"
     got = html.parse_page(page)
