@@ -4,11 +4,15 @@ Word trigrams are counted over all distinct texts, apart for prose, lists and he
 the trigram (inside), and how often a line ends with it without any final mark (at ends). The final trigram of each text
 is joined to these counts, its own occurrence left out. A text is cut if its last trigram is frequent inside but almost
 never at an end. A trigram that was seen too seldom is judged by what begins like it (its last word is a proper beginning
-of a word seen in the same place), then by shorter grams with a wildcard. A mark of omission, an open code fence, an open
-table row or a final comma shows the cut directly; a final full stop, closing bracket or fence shows the end.
+of a word seen in the same place), then by shorter grams with a wildcard. An ellipsis at the end is taken off and shows
+nothing by itself: the end before it is judged (`And so on...` ends many texts). Named marks of omission, an open code
+fence, an open table row or a final comma show the cut directly; a final full stop, closing bracket or fence shows the end.
+
+The texts are read once for their counts; the different ends are judged once each, however many texts share one, by one
+join with the counts of all grams.
 
 Cases: null and blank texts are no cases; repeated texts count once in the statistics and are all reported; an empty
-table gives no rows. Other columns are ignored.
+table gives no rows. Other columns are ignored. Texts are told apart by SHA-256.
 """
 
 from __future__ import annotations
@@ -17,95 +21,135 @@ from pyspark.sql import DataFrame, functions as F
 
 from granary.session import cut
 
-#: A gram decides if it was seen so often at least besides the text itself, and shows a cut if at most this share of it is at ends.
+#: A gram decides if it was seen so often at least besides the text itself (three sights without an end: at one standard error its share of ends is below a quarter), and shows a cut if at most this share of it is at ends.
 LEAST_SEEN, MOST_AT_END = 3, 0.1
 #: A last word is a beginning of another that is so many times as frequent in its place, and so many times as frequent as text goes on after the last word.
 FAR_MORE, RARELY_ON = 5, 50
 
-#: Marks of omission at the end of a text.
-OMITTED = r"(…|\\x{{FFFD}}|\\.\\.\\.|\\[\\s*(more|\\.\\.\\.|…|truncated|cut|snip)\\s*\\]|\\(\\s*(more|truncated|continued|cont\\.?)\\s*\\)|<\\s*(more|truncated)\\s*>|read more|\\[\\+?\\d+ (chars|characters)\\])$"
+#: Named marks of omission at the end of a text, and the bare ones.
+NAMED = r"(\\uFFFD|\\[\\s*(more|\\.\\.\\.|…|truncated|cut|snip)\\s*\\]|\\(\\s*(more|truncated|continued|cont\\.?)\\s*\\)|<\\s*(more|truncated)\\s*>|read more|\\[\\+?\\d+ (chars|characters)\\])$"
+BARE = r"(…|\\.\\.\\.)$"
+#: Characters at the end of a text among which a mark is looked for: more than any of them has.
+MARK_CHARS = 64
 #: Marks that end a sentence, with closing quotes and brackets after them.
 FINAL = r"[.!?。！？।]([\\x22\\x27”’»)\\]*_\\x60]|\\s)*$"
+#: White space of Java's regular expressions.
+_BLANK = " \t\n\r\f\x0b"
+#: A mark at the end of a word that isn't part of it.
+_STOP = r"[\\p{{P}}&&[^`#@/_-]]+$"
 
 # Marks of omission are left out, so that a cut word before one counts as an end; so are fenced code and blank lines.
-_LINES = r"""
-SELECT doc, line, pos = n - 1 AS last,
-       CASE WHEN line RLIKE '^\\s*([-*•+]|[0-9]+[.)])\\s' THEN 'list'
-            WHEN line RLIKE '^\\s*\\|' THEN 'table'
-            WHEN line RLIKE '^\\s*#+ ' THEN 'heading' ELSE 'prose' END AS kind
-FROM (SELECT doc, size(lines) AS n, posexplode(lines) AS (pos, line)
-      FROM (SELECT doc, filter(split(regexp_replace(regexp_replace(text, '(?i)\\s*OMITTED', ''), '(?ms)^[ \\t]*```.*?(^[ \\t]*```[^\\n]*$|\\z)', ''), '\\r\\n|\\n|\\r'), x -> length(trim(x)) > 0) AS lines FROM {texts}))
+_SHAPES = rf"""
+SELECT doc, lines, try_element_at(lines, -1) AS tail,
+       CASE WHEN named THEN 'mark'
+            WHEN fenced AND size(filter(split(bare, '\\r\\n|\\n|\\r'), x -> ltrim(x) LIKE '```%')) % 2 = 1 THEN 'code'
+            WHEN endswith(bare, '```') THEN 'whole'
+            WHEN last RLIKE '^\\s*\\|' THEN CASE WHEN endswith(last, '|') THEN 'whole' ELSE 'table' END
+            WHEN right(bare, 1) IN (',', ';', ':') THEN 'comma'
+            WHEN right(bare, {MARK_CHARS}) RLIKE '{FINAL}' AND NOT lower(right(bare, {MARK_CHARS})) RLIKE '(version|v|step|revision) [0-9]+\\.$' THEN 'whole' END AS shape
+FROM (SELECT *, element_at(split(bare, '\\r\\n|\\n|\\r'), -1) AS last, contains(bare, '```') AS fenced,
+             filter(split(CASE WHEN contains(bare, '```') THEN regexp_replace(bare, '(?ms)^[ \\t]*```.*?(^[ \\t]*```[^\\n]*$|\\z)', '') ELSE bare END, '\\r\\n|\\n|\\r'), x -> length(trim(x)) > 0) AS lines
+      FROM (SELECT doc, named, CASE WHEN named OR dots THEN rtrim('{_BLANK}', concat(left(text, greatest(0, length(text) - {MARK_CHARS})), regexp_replace(right(text, {MARK_CHARS}), '(?i)\\s*({NAMED}|{BARE})', ''))) ELSE text END AS bare
+            FROM (SELECT doc, text, lower(right(text, {MARK_CHARS})) RLIKE '{NAMED}' AS named, text RLIKE '{BARE}' AS dots FROM {{texts}})))
 """
 
-# A position is inside if the line goes on after the bare word, by a mark or by a word. Words: lower case, digits as 0.
+# Words: lower case, digits as 0. A line's kind shows by its first character.
+_KIND = r"""
+CASE WHEN NOT substr(ltrim({line}), 1, 1) RLIKE '[-*•+0-9|#]' THEN 'prose'
+     WHEN {line} RLIKE '^\\s*([-*•+]|[0-9]+[.)])\\s' THEN 'list'
+     WHEN {line} RLIKE '^\\s*\\|' THEN 'table'
+     WHEN {line} RLIKE '^\\s*#+ ' THEN 'heading' ELSE 'prose' END"""
+_WORDS = r"split(trim(regexp_replace(translate(lower({line}), '123456789', '000000000'), '\\s+', ' ')), ' ')"
+_PLAIN = "(substr({w}, -1) BETWEEN 'a' AND 'z' OR substr({w}, -1) = '0')"
+
+# A position is inside if the line goes on after the bare word, by a mark or by a word.
 # The words are zipped with themselves, shifted, so that no row carries a whole line.
-_GRAMS = r"""
-SELECT doc, last, kind, w1, w2, regexp_replace(w, '[\\p{{P}}&&[^`#@/_-]]+$', '') AS w3, next IS NULL AS final,
-       next IS NOT NULL OR w RLIKE '[\\p{{P}}&&[^`#@/_-]]$' AS inside
-FROM (SELECT doc, last, kind, inline(arrays_zip(concat(array('^', '^'), w), concat(array('^'), w), w, slice(w, 2, size(w)))) AS (w1, w2, w, next)
-      FROM (SELECT doc, last, kind, split(trim(regexp_replace(regexp_replace(lower(line), '[0-9]', '0'), '\\s+', ' ')), ' ') AS w FROM {lines}))
-WHERE w IS NOT NULL
+_COUNTS = rf"""
+SELECT kind, w1, w2, w3, count_if(inside) AS ins, count_if(NOT inside) AS fin
+FROM (SELECT kind, w1, w2, CASE WHEN {_PLAIN.format(w="w")} THEN w ELSE regexp_replace(w, '{_STOP}', '') END AS w3,
+             next IS NOT NULL OR NOT {_PLAIN.format(w="w")} AND w RLIKE '{_STOP}' AS inside
+      FROM (SELECT kind, inline(arrays_zip(concat(array('^', '^'), w), concat(array('^'), w), w, slice(w, 2, size(w)))) AS (w1, w2, w, next)
+            FROM (SELECT {_KIND.format(line="line")} AS kind, {_WORDS.format(line="line")} AS w FROM (SELECT explode(lines) AS line FROM {{shapes}})))
+      WHERE w IS NOT NULL)
+WHERE w3 <> '' GROUP BY kind, w1, w2, w3
+"""
+_ENDS = rf"""
+SELECT doc, kind, coalesce(get(w, size(w) - 3), '^') AS w1, coalesce(get(w, size(w) - 2), '^') AS w2, regexp_replace(get(w, size(w) - 1), '{_STOP}', '') AS w3, get(w, size(w) - 1) RLIKE '{_STOP}' AS inside
+FROM (SELECT doc, {_KIND.format(line="tail")} AS kind, {_WORDS.format(line="tail")} AS w FROM {{shapes}} WHERE shape IS NULL AND tail IS NOT NULL)
+"""
+
+# Sorts of gram, each with the columns of its key. Those that begin with p hold the beginnings of words.
+_GRAMS = {"w123": ("kind", "w1", "w2", "w3"), "w23": ("kind", "''", "w2", "w3"), "w12": ("kind", "w1", "w2", "''"), "w13": ("kind", "w1", "''", "w3"), "w3": ("''", "''", "''", "w3"), "o23": ("''", "''", "w2", "w3")}
+_STARTS = {"p123": ("''", "w1", "w2", "w3"), "p23": ("''", "''", "w2", "w3"), "p3": ("''", "''", "''", "w3")}
+
+
+def _keys(grams: dict[str, tuple[str, ...]]) -> str:
+    return "inline(array({}))".format(", ".join("named_struct('g', '{}', 'k', {}, 'a', {}, 'b', {}, 'c', {})".format(g, *key) for g, key in grams.items()))
+
+
+# Counts of the grams, of those with wildcards, and of what begins like a word.
+_FACTS = f"""
+SELECT g, k, a, b, c, sum(ins) AS ins, sum(fin) AS fin FROM (SELECT ins, fin, {_keys(_GRAMS)} AS (g, k, a, b, c) FROM {{counts}}) GROUP BY g, k, a, b, c
 """
+_BEGUN = f"""
+SELECT g, '' AS k, a, b, begin AS c, max(n) AS ins, CAST(0 AS BIGINT) AS fin
+FROM (SELECT g, a, b, n, explode(transform(sequence(1, length(w) - 1), i -> substr(w, 1, i))) AS begin
+      FROM (SELECT 'p123' AS g, w1 AS a, w2 AS b, w3 AS w, ins + fin AS n FROM {{counts}}
+            UNION ALL SELECT replace(replace(g, 'o23', 'p23'), 'w3', 'p3'), a, b, c, ins + fin FROM {{facts}} WHERE g IN ('o23', 'w3'))
+      WHERE n >= {FAR_MORE} AND length(w) > 1)
+GROUP BY g, a, b, begin
+"""
+# Each different end asks for all of its grams at once.
+_ASKED = f"""
+SELECT e.*, {_keys(_GRAMS | _STARTS)} AS (g, k, a, b, c) FROM (SELECT DISTINCT kind, w1, w2, w3, inside FROM {{ends}}) e
+"""
+
+
+def _judged(g: str) -> str:
+    return f"CASE WHEN {g}.ins + {g}.fin < {LEAST_SEEN} THEN NULL ELSE {g}.fin <= {MOST_AT_END} * ({g}.ins + {g}.fin) END"
+
+
+# The end's own occurrence is left out of its grams. The reason is null for an end that isn't a cut.
+_VERDICTS = f"""
+SELECT kind, w1, w2, w3, inside,
+       CASE WHEN {_judged("t")} THEN 'trigram'
+            WHEN w2 <> '^' AND (p.p123 >= greatest({FAR_MORE} * greatest(1, t.fin), {RARELY_ON} * t.ins) OR p.p23 >= greatest({FAR_MORE} * (o.ins + o.fin), {RARELY_ON} * o.ins)) THEN 'word'
+            WHEN NOT {_judged("t")} THEN NULL
+            WHEN {" OR ".join(f"{g}.ins + {g}.fin >= {LEAST_SEEN} AND {g}.fin * 2 >= {g}.ins + {g}.fin" for g in ("x", "y", "z"))} THEN NULL
+            WHEN v.ins = 0 AND p.p3 >= {FAR_MORE} * (v.ins + v.fin) THEN 'word'
+            WHEN {_judged("x")} THEN 'bigram'
+            WHEN {_judged("y")} OR {_judged("z")} THEN 'context' END AS reason
+FROM (SELECT kind, w1, w2, w3, inside, {{own}} named_struct('p123', max(CASE WHEN g = 'p123' THEN ins END), 'p23', max(CASE WHEN g = 'p23' THEN ins END), 'p3', max(CASE WHEN g = 'p3' THEN ins END)) AS p
+      FROM (SELECT q.*, f.ins, f.fin FROM {{asked}} q LEFT JOIN {{all}} f ON q.g = f.g AND q.k = f.k AND q.a = f.a AND q.b = f.b AND q.c = f.c)
+      GROUP BY kind, w1, w2, w3, inside)
+"""
+
+
+def _own() -> str:
+    """The counts of each sort of gram as a struct; of the trigram and its wildcards without the end itself. A line of one word has no wildcards."""
+    out = ""
+    for name, g in (("t", "w123"), ("x", "w23"), ("y", "w12"), ("z", "w13"), ("v", "w3"), ("o", "o23")):
+        several = " AND w2 <> '^'" if name in "xyz" else ""
+        less = ("inside", "NOT inside") if name in "txyz" else ("false", "false")
+        out += "named_struct({}) AS {}, ".format(", ".join(f"'{c}', coalesce(max(CASE WHEN g = '{g}'{several} THEN {c} END), 0) - CASE WHEN {own} THEN 1 ELSE 0 END" for c, own in zip(("ins", "fin"), less)), name)
+    return out
 
 
 def cut_documents(df: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """`id_column`, reason: one row for each text that was cut off. reason: mark, code, table, comma, trigram, word, bigram, context."""
     spark = df.sparkSession
-    docs = df.select(F.col(f"`{id_column}`").alias("id"), F.regexp_replace(F.col(f"`{text_column}`"), r"^\s+|\s+$", "").alias("text")).where("length(text) > 0")
-    docs = docs.withColumn("doc", F.xxhash64("text"))
-    view = {"texts": docs.groupBy("doc").agg(F.first("text").alias("text"))}
-    view["texts"] = cut(view["texts"], "p10-texts")
-    sql = lambda q, **k: spark.sql(q, **(view | k))
-    view["lines"] = sql(_LINES.replace("OMITTED", OMITTED))
-    view["grams"] = sql(_GRAMS)
-    # of each context and word: how often inside, how often at an end
-    view["counts"] = cut(sql("SELECT kind, w1, w2, w3, sum(CASE WHEN inside THEN 1 ELSE 0 END) AS ins, sum(CASE WHEN inside THEN 0 ELSE 1 END) AS fin FROM {grams} WHERE w3 <> '' GROUP BY kind, w1, w2, w3"), "p10-counts")
-    # what the shape of the text shows by itself
-    view["shape"] = sql(rf"""
-        SELECT doc, CASE WHEN lower(text) RLIKE '{OMITTED}' THEN 'mark'
-                         WHEN (length(regexp_replace(text, '(?m)^\\s*```', '')) - length(text)) <> 0
-                              AND size(filter(split(text, '\\r\\n|\\n|\\r'), x -> x RLIKE '^\\s*```')) % 2 = 1 THEN 'code'
-                         WHEN text RLIKE '```$' THEN 'whole'
-                         WHEN tail RLIKE '^\\s*\\|' THEN CASE WHEN tail RLIKE '\\|$' THEN 'whole' ELSE 'table' END
-                         WHEN text RLIKE '[,;:]$' THEN 'comma'
-                         WHEN text RLIKE '{FINAL}' AND NOT lower(text) RLIKE '(version|v|step|revision) [0-9]+\\.$' THEN 'whole' END AS shape
-        FROM (SELECT doc, text, element_at(split(text, '\\r\\n|\\n|\\r'), -1) AS tail FROM {{texts}})""")
-    view["ends"] = sql("SELECT g.doc, g.kind, g.w1, g.w2, g.w3, g.inside FROM {grams} g JOIN {shape} s ON g.doc = s.doc AND s.shape IS NULL WHERE g.last AND g.final")
-    view["ends"] = cut(view["ends"], "p10-ends")
-    judged = f"CASE WHEN ins + fin < {LEAST_SEEN} THEN NULL ELSE fin <= {MOST_AT_END} * (ins + fin) END"
-    # the exact final trigram, its own end left out
-    view["tri"] = sql(f"SELECT doc, kind, w1, w2, w3, inside, ins, fin, {judged} AS cut FROM (SELECT e.*, coalesce(c.ins, 0) - CASE WHEN e.inside THEN 1 ELSE 0 END AS ins, coalesce(c.fin, 0) - CASE WHEN e.inside THEN 0 ELSE 1 END AS fin FROM {{ends}} e LEFT JOIN {{counts}} c ON e.kind = c.kind AND e.w1 = c.w1 AND e.w2 = c.w2 AND e.w3 = c.w3)")
-    view["rare"] = sql("SELECT * FROM {tri} WHERE cut IS NULL")
-    # is the last word a proper beginning of a far more frequent one in the same place, while next to nothing goes on after it? The first character bounds the joins.
-    view["open"] = sql("SELECT * FROM {tri} WHERE NOT coalesce(cut, false) AND w2 <> '^'")
-    view["pairs"] = sql("SELECT w2, w3, sum(ins) AS ins, sum(ins + fin) AS n FROM {counts} GROUP BY w2, w3")
-    longer = "substr(r.w3, 1, 1) = substr(c.w3, 1, 1) AND startswith(c.w3, r.w3) AND length(c.w3) > length(r.w3)"
-    view["begun"] = sql(f"""
-        SELECT r.doc FROM {{open}} r JOIN {{counts}} c ON r.w1 = c.w1 AND r.w2 = c.w2 AND {longer} WHERE c.ins + c.fin >= {FAR_MORE} * greatest(1, r.fin) AND c.ins + c.fin >= {RARELY_ON} * r.ins
-        UNION SELECT r.doc FROM {{open}} r JOIN {{pairs}} o ON r.w2 = o.w2 AND r.w3 = o.w3 JOIN {{pairs}} c ON r.w2 = c.w2 AND {longer} WHERE c.n >= {FAR_MORE} * o.n AND c.n >= {RARELY_ON} * o.ins""")
-    # or, if no text goes on after it, a proper beginning of a word that is frequent anywhere
-    view["words"] = sql("SELECT w3, sum(ins + fin) AS n, sum(ins) AS ins FROM {counts} GROUP BY w3")
-    view["starts"] = sql("SELECT DISTINCT explode(transform(sequence(1, length(w3) - 1), i -> substr(w3, 1, i))) AS w3 FROM {words} WHERE n >= 5 AND length(w3) > 1")
-    view["partial"] = sql("SELECT DISTINCT r.doc FROM {rare} r JOIN {words} w ON r.w3 = w.w3 AND w.ins = 0 JOIN {starts} s ON r.w3 = s.w3")
-    # shorter grams, with a wildcard: what ends like this, or stands in this place
-    for name, keys in (("w23", ("w2", "w3")), ("w12", ("w1", "w2")), ("w13", ("w1", "w3"))):
-        a, b = keys
-        view[name] = sql(f"SELECT r.doc, {judged} AS cut, ins + fin >= {LEAST_SEEN} AND fin * 2 >= ins + fin AS whole FROM (SELECT r.doc, coalesce(c.ins, 0) - CASE WHEN r.inside THEN 1 ELSE 0 END AS ins, coalesce(c.fin, 0) - CASE WHEN r.inside THEN 0 ELSE 1 END AS fin FROM {{rare}} r LEFT JOIN (SELECT kind, {a}, {b}, sum(ins) AS ins, sum(fin) AS fin FROM {{counts}} GROUP BY kind, {a}, {b}) c ON r.kind = c.kind AND r.{a} = c.{a} AND r.{b} = c.{b} AND NOT (r.w1 = '^' AND r.w2 = '^')) r")
-    view["found"] = sql("""
-        SELECT doc, reason FROM (
-          SELECT s.doc, CASE WHEN s.shape IN ('mark', 'code', 'table', 'comma') THEN s.shape
-                             WHEN s.shape = 'whole' THEN NULL
-                             WHEN t.cut THEN 'trigram'
-                             WHEN b.doc IS NOT NULL THEN 'word'
-                             WHEN NOT t.cut THEN NULL
-                             WHEN x.whole OR y.whole OR z.whole THEN NULL
-                             WHEN p.doc IS NOT NULL THEN 'word'
-                             WHEN x.cut THEN 'bigram'
-                             WHEN y.cut OR z.cut THEN 'context' END AS reason
-          FROM {shape} s LEFT JOIN {tri} t ON s.doc = t.doc LEFT JOIN {begun} b ON s.doc = b.doc LEFT JOIN {partial} p ON s.doc = p.doc
-               LEFT JOIN {w23} x ON s.doc = x.doc LEFT JOIN {w12} y ON s.doc = y.doc LEFT JOIN {w13} z ON s.doc = z.doc)
-        WHERE reason IS NOT NULL""")
-    return docs.join(view["found"], "doc").select(F.col("id").alias(id_column), "reason")
+    text = F.trim(F.col(f"`{text_column}`"), F.lit(_BLANK))
+    docs = df.select(F.col(f"`{id_column}`").alias("id"), text.alias("text")).where("length(text) > 0").withColumn("doc", F.sha2("text", 256))
+    sql = lambda q, **views: spark.sql(q, **views)
+    shapes = cut(sql(_SHAPES, texts=docs.select("doc", "text").distinct()), "p10-shapes")
+    ends = cut(sql(_ENDS, shapes=shapes), "p10-ends")
+    counts = cut(sql(_COUNTS, shapes=shapes), "p10-counts")
+    facts = sql(_FACTS, counts=counts)
+    every = facts.unionByName(sql(_BEGUN, counts=counts, facts=facts))
+    verdicts = sql(_VERDICTS.replace("{own}", _own()), asked=sql(_ASKED, ends=ends), all=every).where("reason IS NOT NULL")
+    by_gram = ends.join(verdicts, ["kind", "w1", "w2", "w3", "inside"]).select("doc", "reason")
+    found = shapes.where("shape IN ('mark', 'code', 'table', 'comma')").select("doc", F.col("shape").alias("reason")).unionByName(by_gram)
+    return docs.select("id", "doc").join(found, "doc").select(F.col("id").alias(id_column), "reason")
 
 
 def cut_share(df: DataFrame, cuts: DataFrame, id_column: str = "doc_id", source_column: str = "source") -> DataFrame:

@@ -52,6 +52,18 @@ def test_truncation(spark):
     assert truncation.cut_documents(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("n", [150, 1500])
+def test_truncation_at_an_ellipsis(spark, n):
+    """An ellipsis shows nothing by itself: what is before it decides, alike at both sizes."""
+    rng = random.Random(6)
+    sentence = lambda: f"The {rng.choice(['agent', 'planner', 'probe'])} {rng.choice(['watches', 'drops', 'copies'])} the {rng.choice(['shared cache', 'oldest snapshot', 'signing certificate'])} while the {rng.choice(['node', 'zone', 'queue'])} drains."
+    body = lambda: " ".join(sentence() for _ in range(6))
+    docs = [(i, body()) for i in range(n)] + [(10_000 + i, body() + "\n\nAnd so on...") for i in range(n // 10)]
+    cut = [(20_000, body() + " The agent watches the…"), (20_001, body() + " The probe drops the signing certif..."), (20_002, body() + " The probe drops [more]"), (20_003, body() + "\n\n```\nkubectl get x...")]
+    found = truncation.cut_documents(spark.createDataFrame(docs + cut, "doc_id bigint, text string"))
+    assert rows(found, "doc_id", "reason") == [(20_000, "trigram"), (20_001, "word"), (20_002, "mark"), (20_003, "code")]
+
+
 def test_residue(spark):
     real = ["How do I list pods?", "Which pod returns the 502 bad gateway error reported by kilo?", "Does the page of kilo need JavaScript disabled?", "How do I replace the TODO annotation on kilo?", "What does jsonpath={.items[*].spec} show for kilo?", "How do I print kilo with the template {{.metadata.name}}?", "How do I pass $HOME and <none> filters to kilo?", "Wie bearbeite ich kilo?", "I do not know lorem, could you explain it?"]
     bad = ["How do I list {{ name }}?", "Show <your app here> in web", "How can I copy %s out of pod?", "How do I scale ${RESOURCE}?", "Lorem ipsum dolor sit amet", "blah blah blah", "TODO: write question", "[Insert question here]", "404 Not Found\nReference ab12cd34ef56", "Please enable JavaScript to go on.", "Checking your browser before you go on.", "undefined", "Seite nicht gefunden.\nTrace: 99aa88bb77cc", "java.lang.NullPointerException\n  at Renderer.java:12", "Sorry, we couldn't find that page.", "Text here kilo text here text", "Error 1020: Access denied"]
