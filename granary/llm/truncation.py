@@ -39,18 +39,20 @@ _BLANK = " \t\n\r\f\x0b"
 _STOP = r"[\\p{{P}}&&[^`#@/_-]]+$"
 
 # Marks of omission are left out, so that a cut word before one counts as an end; so are fenced code and blank lines.
+# Line ends are LF from here on. Between fences every other part of a text is code.
 _SHAPES = rf"""
 SELECT doc, lines, try_element_at(lines, -1) AS tail,
        CASE WHEN named THEN 'mark'
-            WHEN fenced AND size(filter(split(bare, '\\r\\n|\\n|\\r'), x -> ltrim(x) LIKE '```%')) % 2 = 1 THEN 'code'
+            WHEN fenced AND size(filter(split(bare, '\\n'), x -> ltrim(x) LIKE '```%')) % 2 = 1 THEN 'code'
             WHEN endswith(bare, '```') THEN 'whole'
             WHEN last RLIKE '^\\s*\\|' THEN CASE WHEN endswith(last, '|') THEN 'whole' ELSE 'table' END
-            WHEN right(bare, 1) IN (',', ';', ':') THEN 'comma'
-            WHEN right(bare, {MARK_CHARS}) RLIKE '{FINAL}' AND NOT lower(right(bare, {MARK_CHARS})) RLIKE '(version|v|step|revision) [0-9]+\\.$' THEN 'whole' END AS shape
-FROM (SELECT *, element_at(split(bare, '\\r\\n|\\n|\\r'), -1) AS last, contains(bare, '```') AS fenced,
-             filter(split(CASE WHEN contains(bare, '```') THEN regexp_replace(bare, '(?ms)^[ \\t]*```.*?(^[ \\t]*```[^\\n]*$|\\z)', '') ELSE bare END, '\\r\\n|\\n|\\r'), x -> length(trim(x)) > 0) AS lines
-      FROM (SELECT doc, named, CASE WHEN named OR dots THEN rtrim('{_BLANK}', concat(left(text, greatest(0, length(text) - {MARK_CHARS})), regexp_replace(right(text, {MARK_CHARS}), '(?i)\\s*({NAMED}|{BARE})', ''))) ELSE text END AS bare
-            FROM (SELECT doc, text, lower(right(text, {MARK_CHARS})) RLIKE '{NAMED}' AS named, text RLIKE '{BARE}' AS dots FROM {{texts}})))
+            WHEN right(last, 1) IN (',', ';', ':') THEN 'comma'
+            WHEN last RLIKE '{FINAL}' AND NOT lower(last) RLIKE '(version|v|step|revision) [0-9]+\\.$' THEN 'whole' END AS shape
+FROM (SELECT *, filter(CASE WHEN fenced THEN split(array_join(filter(split(concat('\n', bare), '\\n[ \\t]*```[^\\n]*'), (x, i) -> i % 2 = 0), '\n'), '\\n') ELSE split(bare, '\\n') END, x -> length(trim(x)) > 0) AS lines
+      FROM (SELECT doc, named, bare, substring_index(bare, '\n', -1) AS last, contains(bare, '```') AS fenced
+            FROM (SELECT doc, named, CASE WHEN named OR endswith(end, '…') OR endswith(end, '...') THEN rtrim('{_BLANK}', concat(left(text, greatest(0, length(text) - {MARK_CHARS})), regexp_replace(end, '(?i)\\s*({NAMED}|{BARE})', ''))) ELSE text END AS bare
+                  FROM (SELECT doc, text, end, lower(end) RLIKE '{NAMED}' AS named
+                        FROM (SELECT doc, text, right(text, {MARK_CHARS}) AS end FROM (SELECT doc, CASE WHEN contains(text, '\r') THEN replace(replace(text, '\r\n', '\n'), '\r', '\n') ELSE text END AS text FROM {{texts}}))))))
 """
 
 # Words: lower case, digits as 0. A line's kind shows by its first character.
@@ -59,7 +61,7 @@ CASE WHEN NOT substr(ltrim({line}), 1, 1) RLIKE '[-*•+0-9|#]' THEN 'prose'
      WHEN {line} RLIKE '^\\s*([-*•+]|[0-9]+[.)])\\s' THEN 'list'
      WHEN {line} RLIKE '^\\s*\\|' THEN 'table'
      WHEN {line} RLIKE '^\\s*#+ ' THEN 'heading' ELSE 'prose' END"""
-_WORDS = r"split(trim(regexp_replace(translate(lower({line}), '123456789', '000000000'), '\\s+', ' ')), ' ')"
+_WORDS = r"filter(split(translate(lower({line}), '123456789\t\u000b\u000c', '000000000   '), ' '), x -> x <> '')"
 _PLAIN = "(substr({w}, -1) BETWEEN 'a' AND 'z' OR substr({w}, -1) = '0')"
 
 # A position is inside if the line goes on after the bare word, by a mark or by a word.
