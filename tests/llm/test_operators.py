@@ -129,6 +129,10 @@ def test_overlap_equals_brute_force(spark):
     truth = overlap_truth(data)
     assert len(truth) > 20 and rows(overlap.row_pairs(*found), "id_a", "id_b") == truth
     assert sum(r.pairs for r in overlap.overlap_report(*found, df, "entry_id", "source").collect()) == len(truth)
+    # every key refined twice, and none ever
+    for common, levels in ((0, 3), (0, 1)):
+        again = overlap.overlaps(df, "entry_id", ["objective", "question", "command"], "split_name", common=common, levels=levels)
+        assert rows(overlap.row_pairs(*again), "id_a", "id_b") == truth
     empty = overlap.overlaps(df.limit(0), "entry_id", ["objective"], "split_name")
     assert overlap.row_pairs(*empty).count() == 0
 

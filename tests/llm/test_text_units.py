@@ -116,14 +116,25 @@ def test_containers_hold_and_lose_nothing():
 
 
 @settings(max_examples=200, deadline=None)
-@given(st.sets(st.integers(0, 60), min_size=1, max_size=30), st.sets(st.integers(0, 60), max_size=4), st.sets(st.integers(0, 60), max_size=4), st.integers(0, 60))
-def test_similar_sets_share_a_block(base, plus, minus, limit):
+@given(st.sets(st.integers(0, 60), min_size=1, max_size=45), st.sets(st.integers(0, 60), max_size=6), st.sets(st.integers(0, 60), max_size=6), st.booleans())
+def test_similar_sets_share_a_segment(base, plus, minus, swap):
+    """At the first cut and, within the equal segments, at the second; the folded codes are within the radius."""
     a, b = base, (base | plus) - minus
     if not b or len(a & b) / len(a | b) < 0.8:
         return
-    count = lambda w: 100 if w < limit else 1
-    keys = [set(overlap.blocks(sorted(s), [count(w) for w in sorted(s)])) for s in (a, b)]
-    assert keys[0] & keys[1]
+    if swap:
+        a, b = b, a
+    met, codes = [], []
+    for words, train in ((a, True), (b, False)):
+        hashes, sizes = overlap.mix(np.array(sorted(words), dtype=np.uint64), 99), np.array([len(words)])
+        row, end = overlap.side_intervals(sizes, train)
+        flat, n, parts = overlap._picked(hashes, sizes, row), sizes[row], overlap.radius(end) + 1
+        at, key = overlap.segment_keys(flat, n, parts, end.astype(np.uint64) << np.uint64(32), 0)
+        again, second = overlap.segment_keys(overlap._picked(hashes, sizes, np.zeros(at.size, int)), np.full(at.size, len(words)), parts[at], key.view(np.uint64), 1)
+        met.append((set(key), set(second)))
+        codes.append(int(overlap.folded(hashes, sizes)[0]) & (1 << 64) - 1)
+    assert met[0][0] & met[1][0] and met[0][1] & met[1][1]
+    assert (codes[0] ^ codes[1]).bit_count() <= len(a ^ b)
 
 
 def test_chi2_quantile():
