@@ -72,11 +72,11 @@ def p5_pieces(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
-    return residue.residue(table(spark, d, "entry"), "entry_id", "question", "source").select("entry_id")
+    return residue.residue(table(spark, d, "entry"), "entry_id", "question", "source", ("command", "objective")).select("entry_id")
 
 
 def p6_clean(spark: SparkSession, d: str) -> DataFrame:
-    return residue.without_residue(table(spark, d, "entry"), "entry_id", "question", "source").select("entry_id", "question")
+    return residue.without_residue(table(spark, d, "entry"), "entry_id", "question", "source", ("command", "objective")).select("entry_id", "question")
 
 
 def _alike(spark: SparkSession, d: str) -> DataFrame:

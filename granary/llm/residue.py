@@ -1,25 +1,44 @@
 """Template residue, filler, error pages and script notices in place of questions (problem 6).
 
-The lines of each text are normalised (lower case, digits as 0, long hexadecimal ids as #) and counted by host, here the
-source that delivered the record. A line that stands in a share of its host's different records is
-recurrent boilerplate and is subtracted, unless it is evidence by itself; if nothing else is left, the whole record counts
-as its residual: so nothing is ever subtracted from a record of one line, though its line is counted. Records that differ in digits or ids alone are one. A record is excluded if its residual or its whole
-text has evidence of a placeholder, of template text, of filler, of an error page or of a notice that scripts, cookies or
-a browser check are required. Words about such things inside a real request are no evidence, but an unfilled placeholder
-is one anywhere. A request in no known form beside a line of evidence is excluded, however often that line recurs.
-
-Cases: null and blank texts are no residue and stay; a null source is a host of its own; repeated records are judged
-alike; an empty table gives no rows. All is expressed in columns; texts are shuffled only of records of several lines,
-and of all others their hashes.
+The lines and sentences of all texts are normalised (lower case, digits and ids as 0; in their masked form also words
+that stand in next to no record as *) and counted by host, here the source that delivered the record. Two things are read
+from these counts:
+
+- A line that stands in a share of its host's different records is recurrent boilerplate and is subtracted, unless it is
+  evidence; if nothing else is left, the whole record counts as its residual.
+- A masked line is residue itself if it recurs under different subjects and shares no word with them. Real requests name what
+  they are about; how seldom they don't is known from the host's records, and a line is taken if its recurrence without
+  a shared word would be chance with a probability below CHANCE, over all lines of the host. So it needs more sights in
+  a larger corpus, and no list.
+
+A record is excluded if its residual has a line of residue, or if its residual or its whole text has evidence of a
+placeholder, of template text, of filler, of an error page or of a notice that scripts, cookies or a browser check are
+required; this decides what is too rare to recur. Words about such things inside a real request are no evidence, but an
+unfilled placeholder is one anywhere. A request in no known form beside a line of evidence is excluded, however often that
+line recurs.
+
+Cases: null and blank texts are no residue and stay; a null source is a host of its own; repeated records count once and
+are judged alike; without subject columns no line is learned; an empty table gives no rows. Texts aren't shuffled for the
+counts, only hashes of their lines.
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
 from functools import reduce
 from operator import or_
 
+import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
+from granary.session import cut, spread
+
+#: A word stays in a normalised line if it stands in this share of the records: so there are at most as many such words as the mean number of words of a record divided by it.
+KNOWN_SHARE = 1e-4
+#: Probability that a line is taken for residue by chance, over all lines of a host; share of its subjects that it must not name.
+CHANCE, UNNAMED = 0.01, 0.9
 #: A line is boilerplate if it stands in so many different records of its host, and in this share of them.
 RECURRENT, RECURRENT_SHARE = 3, 0.01
 #: The share of filler words from which a text is filler.
@@ -98,9 +117,24 @@ def squeezed(column: Column) -> Column:
     return F.trim(F.regexp_replace(column, r"[\s ]+", " "))
 
 
-def normalised_line(column: Column) -> Column:
-    line = F.regexp_replace(F.lower(squeezed(column)), r"\b(?=\w*\d)[0-9a-f]{8,}\b", "#")
-    return F.regexp_replace(line, r"\d", "0")
+_UNIT = re.compile(r"\s*[\r\n]+\s*|(?<=[.!?])\s+")
+_HEX = re.compile(r"\b(?=\w*\d)[0-9a-f]{8,}\b")
+_DIGITS = re.compile(r"\d+")
+_LETTERS = re.compile(r"[^\W\d_]+")
+
+
+def without_numbers(text: str) -> str:
+    return _DIGITS.sub("0", _HEX.sub("0", " ".join(text.lower().split())))
+
+
+def masked_line(line: str, known: frozenset[str]) -> str:
+    """A line with * for all but the known words; empty for one without a known word of three letters."""
+    line = _LETTERS.sub(lambda m: m.group() if m.group() in known else "*", without_numbers(line))
+    return line if any(len(w) > 2 for w in _LETTERS.findall(line)) else ""
+
+
+def _subject(text: str | None) -> set[str]:
+    return {w for w in re.findall(r"[^\W_]+", (text or "").lower()) if len(w) > 2}
 
 
 def filler(text: Column) -> Column:
@@ -126,28 +160,62 @@ def evidence(residual: Column) -> Column:
     )
 
 
-def residue(df: DataFrame, id_column: str, text_column: str, host_column: str) -> DataFrame:
-    """`id_column`, kind: one row for each record that is to be excluded."""
-    rows = df.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{text_column}`").alias("text"), F.coalesce(F.col(f"`{host_column}`"), F.lit("")).alias("host")).where("text IS NOT NULL")
-    lines = F.filter(F.split("text", r"\r\n|\n|\r"), lambda x: F.trim(x) != "")
-    rows = rows.withColumn("lines", lines)
-    single = rows.where(F.size("lines") == 1).select("id", "text")
-    several = rows.where(F.size("lines") > 1)
-    norms = F.transform("lines", lambda x: F.xxhash64(normalised_line(x)))
-    # distinct records first, so that a repeated record counts once
-    records = rows.where(F.size("lines") > 0).select("host", norms.alias("norms")).withColumn("record", F.xxhash64("norms")).groupBy("host", "record").agg(F.first("norms").alias("norms"))
-    counts = records.select("host", F.explode(F.array_distinct("norms")).alias("norm")).groupBy("host", "norm").agg(F.count("*").alias("n")).where(F.col("n") >= RECURRENT)
-    totals = records.groupBy("host").agg(F.count("*").alias("total"))
-    counts = counts.join(totals, "host").where(F.col("n") >= RECURRENT_SHARE * F.col("total")).select("host", "norm", "n")
-    spread = several.select("id", "host", "text", F.posexplode("lines").alias("pos", "line")).withColumn("norm", F.xxhash64(normalised_line(F.col("line"))))
-    stays = F.col("n").isNull() | evidence(F.col("line")).isNotNull()
-    left = spread.join(counts, ["host", "norm"], "left").groupBy("id").agg(F.first("text").alias("text"), F.array_sort(F.collect_list(F.when(stays, F.struct("pos", "line")))).alias("kept"))
-    residual = left.select("id", F.when(F.size("kept") > 0, F.array_join(F.col("kept.line"), "\n")).otherwise(F.col("text")).alias("residual"), "text")
-    found = residual.select("id", F.coalesce(evidence(F.col("residual")), evidence(F.col("text"))).alias("kind"))
-    return single.select("id", evidence(F.col("text")).alias("kind")).unionByName(found).where("kind IS NOT NULL").select(F.col("id").alias(id_column), "kind")
-
-
-def without_residue(df: DataFrame, id_column: str, text_column: str, host_column: str) -> DataFrame:
+def read_lines(rows: DataFrame) -> DataFrame:
+    """id, host, subject and record (hashes), related, units, plain, masked of rows with id, host, text, about: the lines and sentences of each text and the hashes of their forms. Records that differ in digits or ids alone are one."""
+    spark = rows.sparkSession
+    words = rows.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0)))).alias("w")).groupBy("w").count()
+    known = words.crossJoin(rows.agg(F.count("*").alias("all"))).where(F.col("count") >= F.greatest(F.lit(2), F.col("all") * KNOWN_SHARE)).select("w").toArrow()["w"].to_pylist()
+    shared = spark.sparkContext.broadcast(frozenset(known))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, about = batch.column(2).to_pylist(), batch.column(3).to_pylist()
+            units = [[u for u in _UNIT.split(t.strip()) if u] for t in texts]
+            norms = [[xxhash.xxh64_intdigest(n) - (1 << 63) if (n := masked_line(u, shared.value)) else None for u in us] for us in units]
+            plain = [[xxhash.xxh64_intdigest(without_numbers(u)) - (1 << 63) for u in us] for us in units]
+            subject = [xxhash.xxh64_intdigest(a) - (1 << 63) if a else 0 for a in about]
+            record = [xxhash.xxh64_intdigest(without_numbers(t)) - (1 << 63) for t in texts]
+            related = [bool(_subject(t) & _subject(a)) if a else None for t, a in zip(texts, about)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(subject, pa.int64()), pa.array(record, pa.int64()), pa.array(related, pa.bool_()), pa.array(units, pa.list_(pa.string())), pa.array(plain, pa.list_(pa.int64())), pa.array(norms, pa.list_(pa.int64()))], names=["id", "host", "subject", "record", "related", "units", "plain", "masked"])
+
+    return spread(rows.select("id", "host", "text", "about")).mapInArrow(run, f"id {dict(rows.dtypes)['id']}, host string, subject bigint, record bigint, related boolean, units array<string>, plain array<bigint>, masked array<bigint>")
+
+
+def recurrent(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(boilerplate: host, plain; learned: masked) by the counts of lines by host."""
+    subjects = lines.groupBy("host", "record", "subject").agg(F.bool_or("related").alias("related"), F.any_value("plain").alias("plain"), F.any_value("masked").alias("masked"))
+    records = cut(subjects.groupBy("host", "record").agg(F.count("*").alias("subjects"), F.count_if(~F.col("related")).alias("unnamed"), F.any_value("plain").alias("plain"), F.any_value("masked").alias("masked")), "p6-records")
+    forms = F.array(F.struct(F.lit(False).alias("mask"), F.array_distinct("plain").alias("norms")), F.struct(F.lit(True).alias("mask"), F.array_distinct("masked").alias("norms")))
+    counts = records.select("host", "subjects", "unnamed", F.inline(forms)).select("host", "subjects", "unnamed", "mask", F.explode("norms").alias("norm")).where("norm IS NOT NULL").groupBy("host", "mask", "norm").agg(F.count("*").alias("n"), F.sum("subjects").alias("subjects"), F.sum("unnamed").alias("unnamed"))
+    counts = cut(counts, "p6-counts")
+    hosts = records.groupBy("host").agg(F.count("*").alias("total"), (F.sum("unnamed") / F.sum("subjects")).alias("rate"))
+    hosts = hosts.join(counts.where("mask").groupBy("host").agg(F.count("*").alias("different")), "host")
+    held = counts.join(hosts, "host")
+    chance = F.col("unnamed") * F.ln("rate") + F.ln("different")
+    learned = held.where(F.col("mask") & (F.col("rate") > 0) & (F.col("unnamed") >= UNNAMED * F.col("subjects")) & (chance < F.ln(F.lit(CHANCE)))).select(F.col("norm").alias("masked")).distinct()
+    return held.where(~F.col("mask") & (F.col("n") >= RECURRENT) & (F.col("n") >= RECURRENT_SHARE * F.col("total"))).select("host", F.col("norm").alias("plain")), learned
+
+
+def residue(df: DataFrame, id_column: str, text_column: str, host_column: str, about: tuple[str, ...] = ()) -> DataFrame:
+    """`id_column`, kind: one row for each record that is to be excluded. about: columns that say what the record is about; kind is `recurrent` where only the counts show it."""
+    subject = F.concat_ws(" ", *(F.col(f"`{c}`") for c in about)) if about else F.lit(None).cast("string")
+    rows = df.select(F.col(f"`{id_column}`").alias("id"), F.coalesce(F.col(f"`{host_column}`"), F.lit("")).alias("host"), F.col(f"`{text_column}`").alias("text"), subject.alias("about")).where(F.col("text").rlike(r"\S"))
+    lines = cut(read_lines(rows), "p6-lines")
+    boilerplate, learned = recurrent(lines)
+    boilerplate, learned = cut(boilerplate.withColumn("often", F.lit(True)), "p6-often"), cut(learned.withColumn("learned", F.lit(True)), "p6-learned")
+    # only records with a recurrent line are taken apart
+    at = lines.select("id", "host", F.posexplode(F.arrays_zip("plain", "masked")).alias("pos", "form")).select("id", "host", "pos", "form.*")
+    marked = at.join(boilerplate, ["host", "plain"], "left").join(learned, "masked", "left").where("often OR learned").groupBy("id").agg(F.array_agg(F.when(F.col("learned"), F.col("pos"))).alias("learned"), F.array_agg(F.when(F.col("often") & F.col("learned").isNull(), F.col("pos"))).alias("often"))
+    whole = lines.select("id", "units").join(marked, "id", "left")
+    text = F.array_join("units", " ")
+    parts = whole.where(F.size("often") > 0).select("id", "often", F.posexplode("units").alias("pos", "unit"))
+    kept = parts.where(~F.array_contains("often", F.col("pos")) | evidence(F.col("unit")).isNotNull()).groupBy("id").agg(F.array_join(F.array_sort(F.array_agg(F.struct("pos", "unit")))["unit"], " ").alias("residual"))
+    both = whole.join(kept, "id", "left").select("id", text.alias("text"), "residual", (F.size("learned") > 0).alias("learned"))
+    kind = F.coalesce(evidence(F.col("text")), F.when(F.col("residual").isNotNull(), evidence(F.col("residual"))), F.when(F.col("learned"), "recurrent"))
+    return both.select(F.col("id").alias(id_column), kind.alias("kind")).where("kind IS NOT NULL")
+
+
+def without_residue(df: DataFrame, id_column: str, text_column: str, host_column: str, about: tuple[str, ...] = ()) -> DataFrame:
     """The remaining records, all their columns. The ids must be unique."""
-    bad = residue(df, id_column, text_column, host_column).select(F.col(f"`{id_column}`").alias("__bad"))
+    bad = residue(df, id_column, text_column, host_column, about).select(F.col(f"`{id_column}`").alias("__bad"))
     return df.join(bad, F.col(f"`{id_column}`") == F.col("__bad"), "left_anti")

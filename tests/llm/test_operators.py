@@ -91,6 +91,27 @@ def test_residue_counts_records_of_one_line(spark):
     assert rows(residue.residue(df, "entry_id", "question", "source"), "entry_id", "kind") == [(1, "template")]
 
 
+def test_residue_of_one_line_is_subtracted_from_longer_records(spark):
+    data = [(0, "Welcome to the mirror page."), (1, "Welcome to the mirror page.\n404 Not Found"), (2, "Welcome to the mirror page. "), (3, "Welcome to the mirror page.\nHow do I list kilo?"), (4, "Welcome to the mirror page.\nHow do I drain kilo?")]
+    df = spark.createDataFrame(data, "entry_id bigint, question string").withColumn("source", F.lit("h"))
+    assert rows(residue.residue(df, "entry_id", "question", "source"), "entry_id", "kind") == [(1, "error")]
+
+
+@pytest.mark.parametrize("n", [200, 2000])
+def test_residue_is_learned_from_recurrence(spark, n):
+    """Wordings that no list has are found by their recurrence under subjects that they don't name, alike at both sizes; a request that recurs isn't."""
+    rng = random.Random(8)
+    names = ["".join(rng.choice("bdfgklmnprstvz") + rng.choice("aeiou") for _ in range(4)) for _ in range(n)]
+    ask = [(i, f"How do I list the {w} pods?", f"kubectl get {w}") for i, w in enumerate(names)]
+    often = [(10_000 + i, "How do I list the pods of a zone?", f"kubectl get pods {w}") for i, w in enumerate(names[: n // 20])]
+    odd = [(20_000 + i, f"Our hamsters rest just now.\nSession {i}{i}{i}", f"kubectl drain {w}") for i, w in enumerate(names[: n // 20])]
+    once = [(30_000, "Our parrots sing.", "kubectl cordon x")]
+    df = spark.createDataFrame(ask + often + odd + once, "entry_id bigint, question string, command string").withColumn("source", F.lit(None).cast("string"))
+    found = rows(residue.residue(df, "entry_id", "question", "source", ("command",)), "entry_id", "kind")
+    assert found == [(20_000 + i, "recurrent") for i in range(n // 20)]
+    assert residue.residue(df, "entry_id", "question", "source").count() == 0
+
+
 def test_lookalike_table(spark):
     plain = [(i, "The scope of the class stays the same.") for i in range(6)]
     odd = [(10, "The ѕсоре of it"), (11, "the сlаѕѕ"), (12, "тест «привет»"), (13, None), (14, ""), (15, "ｗｉｄｅ é")]
