@@ -11,12 +11,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 ENTRY_KEY = ["command_name", "objective", "command", "question", "chain_of_thought"]
 
 
-def key_hash(columns: list[str]):
-    return F.xxhash64(*(F.struct(F.col(c)) for c in columns))
-
-
 def first_wins(df: DataFrame, key: list[str], order: str) -> DataFrame:
-    """The row of lowest order for each key; nulls are equal. Losers are found among ids, so wide rows aren't sorted."""
+    """The row of lowest order for each key; nulls are equal. Rows are shuffled once by the true key; rows that can't win are dropped within each partition before."""
     first = Window.partitionBy(*key).orderBy(order)
     return df.withColumn("__n", F.row_number().over(first)).where("__n = 1").drop("__n")
 

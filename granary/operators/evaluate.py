@@ -6,10 +6,9 @@ import re
 from collections import Counter
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from granary.functions import text as X
-
 
 def confusion(df: DataFrame, label: str, predicted: str) -> DataFrame:
     return df.groupBy(F.col(label).alias("label"), F.col(predicted).alias("predicted")).agg(F.count("*").alias("n"))
@@ -24,21 +23,29 @@ def macro_metrics(matrix: DataFrame) -> DataFrame:
     return per.agg(F.round(F.sum("tp") / F.sum("t"), 6).alias("accuracy"), F.round(F.avg(precision), 6).alias("precision"), F.round(F.avg(recall), 6).alias("recall"), F.round(F.avg(f1), 6).alias("f1"))
 
 
+def _f_measure(hits: int, n: int, m: int) -> float:
+    return round(2 * hits / (n + m), 6) if hits else 0.0
+
+
+def _of_pairs(df: DataFrame, id_column: str, reference: str, candidate: str, score) -> DataFrame:
+    """id, rouge: score(words of the reference, words of the candidate) of each row, in Arrow batches: both texts are in one row, so nothing is shuffled."""
+    w = lambda c: F.regexp_extract_all(F.lower(F.coalesce(F.col(c), F.lit(""))), F.lit("[a-z0-9]+"), F.lit(0))
+
+    def run(batches):
+        for batch in batches:
+            scores = [score(r, c) for r, c in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], names=["id", "rouge"])
+
+    return df.select(F.col(id_column).alias("id"), w(reference).alias("r"), w(candidate).alias("c")).mapInArrow(run, f"id {dict(df.dtypes)[id_column]}, rouge double")
+
+
 def rouge_n(df: DataFrame, id_column: str, reference: str, candidate: str, n: int = 1) -> DataFrame:
     """id, rouge: F-measure of n-gram multisets, words of a-z and 0-9 in lower case. Pairs without common n-grams have 0."""
-    def grams(c: str):
-        w = F.regexp_extract_all(F.lower(F.coalesce(F.col(c), F.lit(""))), F.lit("[a-z0-9]+"), F.lit(0))
-        if n == 1:
-            return w
-        return X.let(w, lambda v: F.when(F.size(v) >= n, F.transform(F.sequence(F.lit(1), F.size(v) - (n - 1)), lambda i: F.array_join(F.slice(v, i, F.lit(n)), " "))).otherwise(F.array().cast("array<string>")))
+    def score(r: list, c: list) -> float:
+        a, b = (Counter(zip(*(words[i:] for i in range(n)))) for words in (r, c))
+        return _f_measure(sum((a & b).values()), a.total(), b.total())
 
-    base = df.select(F.col(id_column).alias("id"), grams(reference).alias("r"), grams(candidate).alias("c"))
-    sizes = base.select("id", F.size("r").alias("nr"), F.size("c").alias("nc"))
-    # both sides in one pass: a gram's counts in reference and candidate, then the lesser of them
-    both = base.select("id", F.explode(F.concat(F.transform("r", lambda g: F.struct(g.alias("g"), F.lit(1).alias("r"), F.lit(0).alias("c"))), F.transform("c", lambda g: F.struct(g.alias("g"), F.lit(0).alias("r"), F.lit(1).alias("c"))))).alias("x"))
-    hits = both.groupBy("id", "x.g").agg(F.least(F.sum("x.r"), F.sum("x.c")).alias("k")).groupBy("id").agg(F.sum("k").alias("k"))
-    score = F.when(F.coalesce("k", F.lit(0)) > 0, 2 * F.col("k") / (F.col("nr") + F.col("nc"))).otherwise(0.0)
-    return sizes.join(hits, "id", "left").select("id", F.round(score, 6).alias("rouge"))
+    return _of_pairs(df, id_column, reference, candidate, score)
 
 
 def lcs_length(a: list, b: list) -> int:
@@ -51,15 +58,8 @@ def lcs_length(a: list, b: list) -> int:
 
 
 def rouge_l(df: DataFrame, id_column: str, reference: str, candidate: str) -> DataFrame:
-    """id, rouge: F-measure of the longest common subsequence of words, in Arrow batches."""
-    w = lambda c: F.regexp_extract_all(F.lower(F.coalesce(F.col(c), F.lit(""))), F.lit("[a-z0-9]+"), F.lit(0))
-
-    def run(batches):
-        for pdf in batches:
-            score = [round(2 * k / (len(a) + len(b)), 6) if (k := lcs_length(list(a), list(b))) else 0.0 for a, b in zip(pdf["r"], pdf["c"])]
-            yield pd.DataFrame({"id": pdf["id"], "rouge": score})
-
-    return df.select(F.col(id_column).alias("id"), w(reference).alias("r"), w(candidate).alias("c")).mapInPandas(run, f"id {dict(df.dtypes)[id_column]}, rouge double")
+    """id, rouge: F-measure of the longest common subsequence of words."""
+    return _of_pairs(df, id_column, reference, candidate, lambda r, c: _f_measure(lcs_length(r, c), len(r), len(c)))
 
 
 def _lcs_places(a: list, b: list) -> set[int]:
@@ -92,3 +92,12 @@ def rouge_lsum(reference: str | None, candidate: str | None) -> float:
                 has[line[i]] -= 1
                 may[line[i]] -= 1
     return round(2 * hits / (sum(map(len, ref)) + sum(map(len, can))), 6) if hits else 0.0
+
+
+def rouge_lsum_table(df: DataFrame, id_column: str, reference: str, candidate: str) -> DataFrame:
+    """id, rouge: ROUGE-Lsum of each pair, in Arrow batches."""
+    def run(batches):
+        for pdf in batches:
+            yield pd.DataFrame({"id": pdf["id"], "rouge": [rouge_lsum(r, c) for r, c in zip(pdf["r"], pdf["c"])]})
+
+    return df.select(F.col(id_column).alias("id"), F.col(reference).alias("r"), F.col(candidate).alias("c")).mapInPandas(run, f"id {dict(df.dtypes)[id_column]}, rouge double")

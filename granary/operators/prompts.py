@@ -61,3 +61,23 @@ def routed_prompt(prompt: Column, kind: Column, start: str = "### Answer:", docu
         F.concat(F.lit("You are a helpful kubernetes professional. [INST] Use the following documentation, if it is relevant to answer the question below. [/INST]\nDocumentation: "), documentation, F.lit(" </s>\n<s> [INST] Answer the following question: "), prompt, F.lit(" [/INST]\nAnswer:\n\n"))
     )
     return F.when(kind == 0, F.concat(F.lit("[INST] "), prompt, F.lit("\n Lets think step by step. [/INST] " + start))).when(kind == 1, asked).otherwise(F.concat(F.lit("[INST] "), prompt, F.lit(" [/INST]")))
+
+
+def fan_out(asked: DataFrame, retrievers: dict[str, DataFrame | None]) -> DataFrame:
+    """query_id, prompt, retriever, full_prompt, trace: each question once for every retriever. asked: query_id, prompt; a retriever's table: query_id, context; None asks without documentation.
+
+    A question for which the search has no result gets empty documentation, one that the index doesn't know goes without. trace: the steps in Markdown, for questions with documentation.
+    """
+    out = None
+    for name, found in retrievers.items():
+        rows = asked.withColumn("retriever", F.lit(name))
+        if found is None:
+            rows = rows.withColumn("context", F.lit(None).cast("string"))
+        else:
+            rows = rows.join(found.select("query_id", "context"), "query_id", "left")
+            rows = rows.withColumn("context", F.coalesce("context", F.lit(""))) if name == "web" else rows
+        out = rows if out is None else out.unionByName(rows)
+    step = lambda n, title: F.lit(f"### Step {n}: {title}  \n\n")
+    asked_for = F.concat(F.lit("Documentation: [RETRIEVED_RESULTS] [INST] Answer the following question: "), F.col("prompt"), F.lit(" [/INST]\nAnswer:"))
+    trace = F.when(F.col("context").isNull(), "").otherwise(F.concat(step(1, "Preparing prompt for additional documentation"), step(2, "Retrieving documentation"), X.markdown(F.col("context")), F.lit("  \n\n"), step(3, "Creating full prompt given to model"), asked_for))
+    return out.select("query_id", "prompt", "retriever", routed_prompt(F.col("prompt"), F.lit(1), documentation=F.col("context")).alias("full_prompt"), trace.alias("trace"))

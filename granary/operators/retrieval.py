@@ -72,3 +72,15 @@ def rerank(hits: DataFrame, texts: DataFrame, keep: int = 3, score=lexical_score
 def context(reranked: DataFrame) -> DataFrame:
     """query_id, context: the stripped passages in order, joined by blank lines. Each query has at most a few."""
     return reranked.groupBy("query_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "text"))), lambda x: X.strip(x["text"])), "\n\n").alias("context"))
+
+
+def labelled_context(reranked: DataFrame) -> DataFrame:
+    """query_id, context: the passages in order, each on one line after its label. Fewer than three give fewer labels."""
+    label = F.when(F.col("place") == 1, "First").when(F.col("place") == 2, "Second").otherwise("Third")
+    line = F.concat(label, F.lit(" result:\n"), F.replace("text", F.lit("\n"), F.lit(" ")))
+    return reranked.select("query_id", "place", line.alias("line")).groupBy("query_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "line"))), lambda x: x["line"]), "\n").alias("context"))
+
+
+def search_results(hits: DataFrame) -> DataFrame:
+    """query_id, context: the snippets of search hits (query_id, rank, text) in order, joined with hard breaks."""
+    return hits.groupBy("query_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", "text"))), lambda x: X.snippet(x["text"])), "  \n").alias("context"))

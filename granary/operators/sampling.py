@@ -54,26 +54,40 @@ def nearest_pick(cdf: DataFrame, samples: DataFrame, cells: int = 4096) -> DataF
     return two.groupBy("sample_no").agg(F.min_by("y.id", F.struct(F.round(F.abs(F.col("v") - F.col("y.cdf")), 12), -F.col("y.cdf"))).alias("id"))
 
 
-def guided_sample(pdf: DataFrame, n: int, seed: int = 0, rounds: int = 12) -> DataFrame:
-    """round, id: n distinct rows whose place in the CDF is nearest to truncated-normal draws. Fewer if `rounds` rounds, of twice as many new draws each, find no more."""
+def guided_sample(pdf: DataFrame, n: int, seed: int = 0) -> DataFrame:
+    """round, id: n distinct rows whose place in the CDF is nearest to truncated-normal draws.
+
+    Each round makes twice as many draws as the one before. Rows whose share is below what draws can tell apart are never
+    reached; an error is raised if three rounds on end find nothing new, so that a sample is never short.
+    """
     from granary.operators.scoring import score_cdf
 
-    spark = pdf.sparkSession
     cdf = cut(score_cdf(pdf).select("id", "cdf", "rank"), "cdf")
-    found = None
-    for r in range(rounds):
-        draws = truncated_normal(spark, n << r, seed=seed + r)
+    found, have, idle, r = None, 0, 0, 0
+    while have < n:
+        draws = truncated_normal(pdf.sparkSession, n << min(r, 6), seed=seed + r)
         new = nearest_pick(cdf, draws).select(F.lit(r).alias("round"), "id")
         found = cut((new if found is None else found.unionByName(new)).groupBy("id").agg(F.min("round").alias("round")), "picked")
-        if found.count() >= n:
-            break
+        now, r = found.count(), r + 1
+        idle = idle + 1 if now == have else 0
+        if idle == 3:
+            raise ValueError(f"only {now} of {n} rows can be reached")
+        have = now
     return found.orderBy("round", "id").limit(n).select("round", "id")
 
 
+#: So many examples are carried in the plan; more are joined.
+FEW = 1000
+
+
 def few_shot(entries: DataFrame, examples: DataFrame, id_column: str, example_id: str, k: int = 3, seed: str = "0") -> DataFrame:
-    """id, example_id, place: k examples for each entry in hash order. The examples are a file of a few dozen rows; above 1,000 the join isn't broadcast."""
+    """id, example_id, place: k examples for each entry in hash order. Up to FEW examples, whose ids are an array in the plan, nothing is shuffled; above, entries and examples are joined."""
     e = examples.select(F.col(example_id).alias("example_id"))
-    small = F.broadcast(e) if e.count() <= 1000 else e
-    pairs = entries.select(F.col(id_column).alias("id")).crossJoin(small)
+    ids = [r[0] for r in e.limit(FEW + 1).collect()]
+    rows = entries.select(F.col(id_column).alias("id"))
+    if len(ids) <= FEW:
+        kind = dict(e.dtypes)["example_id"]
+        drawn = F.transform(F.array(*map(F.lit, ids)).cast(f"array<{kind}>"), lambda x: F.struct(hash_order(seed, F.col("id"), x).alias("h"), x.alias("example_id")))
+        return rows.select("id", F.posexplode(F.slice(F.array_sort(drawn), 1, k)).alias("pos", "x")).select("id", F.col("x.example_id").alias("example_id"), (F.col("pos") + 1).alias("place"))
     place = F.row_number().over(Window.partitionBy("id").orderBy(hash_order(seed, F.col("id"), F.col("example_id")), "example_id"))
-    return pairs.withColumn("place", place).where(F.col("place") <= k)
+    return rows.crossJoin(e).withColumn("place", place).where(F.col("place") <= k)

@@ -67,10 +67,16 @@ def adaptive_multiplier(ratios: DataFrame, name: str = "command_name") -> DataFr
     return ratios.crossJoin(F.broadcast(mean)).select(name, m.alias("multiplier"))
 
 
-def score_pdf(scored: DataFrame) -> DataFrame:
-    """id, score, pdf: scores shifted to a least of 0 and divided by their sum. Equal scores have equal shares."""
-    stats = scored.agg(F.min("score").alias("low"), (F.sum("score") - F.count("*") * F.min("score")).alias("sum"), F.count("*").alias("rows"))
-    return scored.crossJoin(F.broadcast(stats)).select("id", "score", F.when(F.col("sum") > 0, (F.col("score") - F.col("low")) / F.col("sum")).otherwise(1.0 / F.col("rows")).alias("pdf"))
+def multiplied(scored: DataFrame, names: DataFrame, multipliers: DataFrame, name: str = "command_name") -> DataFrame:
+    """scored with weighted: each score times the multiplier of its row's name. names: id, name. A name is aggregated to one row, so a hot one costs no more than its rows."""
+    m = multipliers.select(F.col(name).alias("__name"), "multiplier")
+    return scored.join(names.select("id", name), "id").join(m, F.col(name).eqNullSafe(F.col("__name"))).select("id", "score", (F.col("score") * F.col("multiplier")).alias("weighted"))
+
+
+def score_pdf(scored: DataFrame, value: str = "score") -> DataFrame:
+    """id, score, pdf: values shifted to a least of 0 and divided by their sum. Equal values have equal shares."""
+    stats = scored.agg(F.min(value).alias("low"), (F.sum(value) - F.count("*") * F.min(value)).alias("sum"), F.count("*").alias("rows"))
+    return scored.crossJoin(F.broadcast(stats)).select("id", "score", F.when(F.col("sum") > 0, (F.col(value) - F.col("low")) / F.col("sum")).otherwise(1.0 / F.col("rows")).alias("pdf"))
 
 
 def running_total(df: DataFrame, order: list[Column], value: str, out: str, rank: str | None = None) -> DataFrame:

@@ -121,6 +121,20 @@ def adaptive_multiplier(spark, d):
     return scoring.adaptive_multiplier(_ratios(spark, d)).withColumn("multiplier", F.round("multiplier", 4))
 
 
+def _multiplied(spark, d) -> DataFrame:
+    names = _entry(spark, d, "entry_id", "command_name").withColumnRenamed("entry_id", "id")
+    return scoring.multiplied(_scored(spark, d), names, scoring.adaptive_multiplier(_ratios(spark, d)))
+
+
+_MULTIPLIED = _KL + f""", {_RATIO}, g AS (SELECT exp(avg(ln(ratio))) AS g FROM ratios), mu AS (SELECT command_name, CASE WHEN ratio < g THEN 0.05 * abs(ratio - g) WHEN abs(ratio - g) < 1e-12 THEN 1000000 ELSE 10 / abs(ratio - g) END AS multiplier FROM ratios CROSS JOIN g),
+ ml AS (SELECT id, score, score * multiplier AS weighted FROM kl JOIN entry ON id = entry_id JOIN mu ON entry.command_name IS NOT DISTINCT FROM mu.command_name)"""
+
+
+@query(f"WITH {_MULTIPLIED} SELECT id AS entry_id, score, round(weighted, 4) AS weighted FROM ml")
+def multiplied_scores(spark, d):
+    return _multiplied(spark, d).select(F.col("id").alias("entry_id"), "score", F.round("weighted", 4).alias("weighted"))
+
+
 @query(f"WITH {_PDF} SELECT id AS entry_id, round(pdf, 9) AS pdf FROM pdf")
 def score_pdf(spark, d):
     return scoring.score_pdf(_scored(spark, d)).select(F.col("id").alias("entry_id"), F.round("pdf", 9).alias("pdf"))
@@ -211,7 +225,9 @@ def nearest_cdf_pick(spark, d):
 
 @query()
 def guided_sample(spark, d):
-    return sampling.guided_sample(scoring.score_pdf(_scored(spark, d)), 500).withColumnRenamed("id", "entry_id")
+    """A tenth of the entries, by scores with the multipliers of their commands."""
+    n = max(1, table(spark, d, "entry").count() // 10)
+    return sampling.guided_sample(scoring.score_pdf(_multiplied(spark, d), "weighted"), n).withColumnRenamed("id", "entry_id")
 
 
 @query()
@@ -299,6 +315,15 @@ def prompt_cot_plain(spark, d):
     return rows.where(F.coalesce(F.size(kept), F.lit(0)) == 0).select("entry_id", F.md5(prompt).alias("prompt_md5"))
 
 
+_DOCS = f"to_json({{'syntax': syntax, 'flags': list_transform(list_filter(coalesce(flags, []), lambda f: coalesce({_FLAG_ON}, false)), lambda f: {{'option': f.option, 'short': f.short, 'default_value': f.default_value, 'description': f.description}})}})"
+_ABOUT = f"CASE WHEN len(list_filter(coalesce(flags, []), lambda f: coalesce({_FLAG_ON}, false))) > 0 THEN 'Do not comment about flags that could be used' || chr(10) || 'If a flag is not specified in the command, consider the default found in the docs' || chr(10) || 'To understand the flags use the documentation JSON format here: ' || {_DOCS} || chr(10) || chr(10) ELSE '' END"
+
+
+@query(f"WITH {_examples_sql(True)} SELECT entry_id, md5('Generate the chain of thought process for the given command, based on the general idea and the instruction.' || chr(10) || chr(10) || examples || chr(10) || chr(10) || 'General idea: ' || coalesce(objective, 'None') || chr(10) || 'Instruction: ' || coalesce(question, 'None') || chr(10) || 'Command: ' || coalesce(command, 'None') || chr(10) || {_ABOUT} || 'Chain of Thought: ') AS prompt_md5 FROM entry JOIN ex ON entry_id = id")
+def prompt_cot_all(spark, d):
+    return prompt_cot(spark, d).select("entry_id", F.md5("prompt").alias("prompt_md5"))
+
+
 @query()
 def prompt_cot(spark, d):
     rows = _with_examples(spark, d, True).withColumn("kept", prompts.relevant_flags(F.col("command"), F.col("flags")))
@@ -566,7 +591,13 @@ def rouge2(spark, d):
     return evaluate.rouge_n(_entry(spark, d, "entry_id", "objective", "question"), "entry_id", "objective", "question", 2).withColumnRenamed("id", "entry_id")
 
 
-@query()
+_W = lambda c: f"regexp_extract_all(lower(coalesce({c}, '')), '[a-z0-9]+')"
+
+
+# the rows of the table of common subsequences, folded over the words of the reference; words are numbers, as a fold has one type
+@query(f"""WITH b AS (SELECT entry_id, {_W('objective')} AS r, {_W('question')} AS c FROM entry), n AS (SELECT entry_id, len(r) AS nr, len(c) AS nc, list_transform(r, lambda w: [list_position(c, w)]) AS r, list_transform(c, lambda w: list_position(c, w)) AS c FROM b),
+ k AS (SELECT entry_id, nr, nc, list_reduce(r, lambda prev, e: list_reduce(list_transform(range(1, nc + 1), lambda j: [CAST(j AS INTEGER)]), lambda acc, f: list_append(acc, CASE WHEN c[f[1]] = e[1] THEN prev[f[1]] + 1 ELSE greatest(prev[f[1] + 1], acc[f[1]]) END), [0]), list_transform(range(0, nc + 1), lambda j: 0))[nc + 1] AS k FROM n)
+ SELECT entry_id, round(CASE WHEN coalesce(k, 0) > 0 THEN 2 * k / (nr + nc) ELSE 0 END, 6) AS rouge FROM k""")
 def rouge_l(spark, d):
     return evaluate.rouge_l(_entry(spark, d, "entry_id", "objective", "question"), "entry_id", "objective", "question").withColumnRenamed("id", "entry_id")
 

@@ -43,6 +43,42 @@ def read_binary(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path).select("path", "length", "content")
 
 
+def extract_pages(binaries: DataFrame, extractor) -> DataFrame:
+    """path, pages: what an extractor (bytes -> list of page texts) makes of each file; a file that it fails on has null pages. Files that can't be read don't stop the others."""
+    def run(batches):
+        for pdf in batches:
+            pages = []
+            for content in pdf.pop("content"):
+                try:
+                    pages.append([str(p) for p in extractor(bytes(content))])
+                except Exception:  # noqa: BLE001 - any failure of a file is that file's
+                    pages.append(None)
+            pdf["pages"] = pages
+            yield pdf
+
+    return binaries.select("path", "content").mapInPandas(run, "path string, pages array<string>")
+
+
+def search_web(asked: DataFrame, search) -> DataFrame:
+    """query_id, rank, text: the hits of a search boundary (question -> list of snippets) for each question; a search that fails has none. asked: query_id, prompt."""
+    kind = dict(asked.dtypes)["query_id"]
+
+    def run(batches):
+        import pandas as pd
+
+        for pdf in batches:
+            rows = []
+            for query_id, prompt in zip(pdf["query_id"], pdf["prompt"]):
+                try:
+                    hits = list(search(prompt))
+                except Exception:  # noqa: BLE001 - a search without an answer gives no documentation
+                    hits = []
+                rows += [(query_id, i + 1, h) for i, h in enumerate(hits)]
+            yield pd.DataFrame(rows, columns=["query_id", "rank", "text"])
+
+    return asked.select("query_id", "prompt").mapInPandas(run, f"query_id {kind}, rank int, text string")
+
+
 def from_page(df: DataFrame, pages: str, first: int = 15) -> DataFrame:
     """The pages from number `first` on, each after a blank line. pages: an array of texts."""
     return df.select("*", F.posexplode(pages).alias("page_no", "page")).where(F.col("page_no") >= first).withColumn("page", F.concat(F.lit("\n"), "page"))

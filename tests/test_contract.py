@@ -8,7 +8,7 @@ import sys
 import duckdb
 import pytest
 
-from granary.plans import catalogue
+from granary.plans import branches, catalogue  # noqa: F401 - branches adds its queries to the catalogue
 
 DATA = "/root/testdata/sf0.001"
 

@@ -28,7 +28,9 @@ def one(spark, value, fn):
         (X.cap_lines, "a\n" + "b" * 600, "a"), (X.cap_lines, "b" * 600, ""), (X.cap_lines, " a ", "a"),
         (X.map_unicode, "a‐\nb‐c•d—e’f“g”h↔i–j×kšl…", "ab-c - d-e'f\"g\"h<=>i<=>j*ksls"), (X.drop_running_headers, "a\nTitle | 12\n13 | T\nb", "a\nb"), (X.drop_page_numbers, "a\n 12 \nb", "a\n\nb"), (X.drop_figures, "a\nFigure 1-2. X\nb", "a\n\nb"),
         (X.single_spaces, "  a   b\t", "a b"), (X.rstrip_lines, "a  \n b \t\nc", "a\n b\nc"), (X.reflow, "one\ntwo.\n(three\n- x", "one two. (three - x"), (X.reflow, "a;\nb", "a;\nb"),
-        (X.drop_chapter_references, "Good. (see Chapter 3 now) As Chapter 4 says, fine", "Good. fine"), (X.paragraphs, "a.\nb", ["a.", "b."]), (X.markdown, "# a\n---\n\n b", "\\# a  \n___  \n  \n b"),
+        (X.drop_chapter_references, "Good. (see Chapter 3 now) As Chapter 4 says, fine", "Good. fine"),
+        (X.drop_chapter_references, 'Pods run, as shown in Chapter 3, "Networking". They stop.', "Pods run. They stop."), (X.drop_chapter_references, "It works, see Chapter 12. Next: Chapter 4 has more; done", "It works. Next: done"), (X.drop_chapter_references, "the pods (see Chapter 3) run\nChapter seven\n", "the pods run\nChapter seven\n"),
+        (X.paragraphs, "a.\nb", ["a.", "b."]), (X.markdown, "# a\n---\n\n b", "\\# a  \n___  \n  \n b"),
         (X.snippet, "12 Jan — text — more ", "text — more"), (X.first_statement, "x" * 130 + ". y", "x" * 130), (X.first_statement, "a. b", "a. b"),
         (X.strip, None, None), (X.tokens, None, None),
     ],
@@ -218,6 +220,62 @@ def test_blocks_are_masked_and_restored():
     assert segment.mask_blocks(None) == (None, []) and segment.mask_blocks("a: b\n" * 50_000)[1][0][1] == "yaml"
 
 
+def test_shell_input_goes_on_over_lines():
+    text = "$ ls \\\nmore\nkubectl get x\ndocker run \\\n  -v a \\\n  img\nkubectl\\\nnot indented"
+    masked, blocks = segment.mask_blocks(text)
+    assert masked == "_CODE$0_\nkubectl get x\n_CODE$1_\nkubectl\\\nnot indented"
+    assert [b[2] for b in blocks] == ["$ ls \\\nmore", "docker run \\\n  -v a \\\n  img"]
+
+
+def test_chunker_gives_the_code_back(spark):
+    text = "First line\ngoes on here.\n\n$ kubectl get x \\\n  -n web\n\nLast one (see Chapter 3)."
+    df = spark.createDataFrame([(1, text), (2, None), (3, "")], "id bigint, text string")
+    got = {(r.id, r.window_no): (r.n_tokens, r.text) for r in segment.chunk_texts(df, "id", "text").collect()}
+    assert got[1, 0][1] == "First line goes on here.\n\n```bash\n$ kubectl get x \\\n  -n web\n```\n\nLast one." and set(got) == {(1, 0), (3, 0)}
+    small = [r.text for r in segment.chunk_texts(df, "id", "text", budget=1, stride=1).orderBy("window_no").collect() if r.id == 1]
+    assert len(small) == 3 and "```bash" in small[1]
+
+
+def test_boundaries_of_files_and_searches(spark):
+    from granary.operators import prompts, retrieval
+    from granary.sources import readers
+
+    files = spark.createDataFrame([("a", bytearray(b"one|two")), ("b", bytearray(b"\xff"))], "path string, content binary")
+    assert {r.path: r.pages for r in readers.extract_pages(files, lambda b: b.decode().split("|")).collect()} == {"a": ["one", "two"], "b": None}
+
+    def search(prompt):
+        return ["1 May — first", "second"] if prompt == "x" else 1 / 0
+
+    asked = spark.createDataFrame([(1, "x"), (2, "y")], "query_id bigint, prompt string")
+    found = retrieval.search_results(readers.search_web(asked, search))
+    assert [tuple(r) for r in found.collect()] == [(1, "first  \nsecond")]
+    out = {(r.query_id, r.retriever): r for r in prompts.fan_out(asked, {"none": None, "web": found}).collect()}
+    assert len(out) == 4 and out[1, "none"].trace == "" and "first  \nsecond </s>" in out[1, "web"].full_prompt and "### Step 3" in out[2, "web"].trace
+
+
+def test_command_line(spark, tmp_path):
+    from granary.__main__ import main
+
+    main(["example_partition", "--data", "/root/testdata/sf0.001", "--out", str(tmp_path / "out")])
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 24
+    with pytest.raises(SystemExit):
+        main(["no_such_query", "--data", "x"])
+
+
+def test_few_shot_by_join_equals_the_array(spark, monkeypatch):
+    entries, examples = spark.range(30), spark.range(9).withColumnRenamed("id", "example_id")
+    picked = lambda: sorted(tuple(r) for r in sampling.few_shot(entries, examples, "id", "example_id").collect())
+    narrow = picked()
+    monkeypatch.setattr(sampling, "FEW", 5)
+    assert len(narrow) == 90 and picked() == narrow and sampling.few_shot(entries, examples.limit(0), "id", "example_id").count() == 0
+
+
+def test_guided_sample_is_never_short(spark):
+    pdf = scoring.score_pdf(spark.createDataFrame([(i, float(i)) for i in range(5)], "id bigint, score double"))
+    with pytest.raises(ValueError):
+        sampling.guided_sample(pdf, 6)
+
+
 def test_sections(spark):
     df = spark.createDataFrame([(1, "intro\nOne\na\nTwo\nb", ["One", "Two"]), (2, "Two\nOne", ["One", "Two"]), (3, None, None)], "id bigint, t string, titles array<string>")
     got = [tuple(r) for r in segment.split_sections(df, ["id"], "t", "titles").orderBy("id", "section_no").collect()]
