@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from granary.functions import text as X
@@ -80,16 +85,30 @@ def score_pdf(scored: DataFrame, value: str = "score") -> DataFrame:
 
 
 def running_total(df: DataFrame, order: list[Column], value: str, out: str, rank: str | None = None) -> DataFrame:
-    """A global running total (and rank) without a single-task window: ranges are summed apart, and each begins with the sum of those before it."""
-    ranged = cut(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__part", F.spark_partition_id()), "running")
-    sums = ranged.groupBy("__part").agg(F.sum(value).alias("__sum"), F.count("*").alias("__rows"))
+    """A global running total (and rank) without a single-task window: rows are shuffled once, into ranges; each range is summed in order as it is written, and begins with the sum of those before it. Null values add nothing."""
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__part", F.spark_partition_id())
+    at = ranged.columns.index(value)
+    whole = dict(df.dtypes)[value] in ("tinyint", "smallint", "int", "bigint")
+    kind = pa.int64() if whole else pa.float64()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, rows = 0, 0
+        for batch in batches:
+            v = pc.fill_null(batch.column(at).cast(kind), 0).to_numpy(zero_copy_only=False)
+            if v.size:
+                sums = np.cumsum(np.concatenate([[total], v]))[1:]  # one after the other, as a window would
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sums, kind), pa.array(np.arange(rows + 1, rows + v.size + 1))], names=[*batch.schema.names, "__sum", "__row"])
+                total, rows = sums[-1], rows + v.size
+
+    summed = ranged.mapInArrow(run, ", ".join(f"`{n}` {t}" for n, t in ranged.dtypes) + f", __sum {'bigint' if whole else 'double'}, __row bigint")
+    ranges = cut(summed, "running")
+    ends = ranges.groupBy("__part").agg(F.max_by("__sum", "__row").alias("__sum"), F.max("__row").alias("__rows"))
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)  # one row a partition
-    starts = sums.select("__part", F.coalesce(F.sum("__sum").over(before), F.lit(0.0)).alias("__from"), F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__first"))
-    own = Window.partitionBy("__part").orderBy(*order)
-    total = ranged.join(F.broadcast(starts), "__part").withColumn(out, F.col("__from") + F.sum(value).over(own.rowsBetween(Window.unboundedPreceding, 0)))
+    starts = ends.select("__part", F.coalesce(F.sum("__sum").over(before), F.lit(0)).alias("__from"), F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__first"))
+    total = ranges.join(F.broadcast(starts), "__part").withColumn(out, F.col("__from") + F.col("__sum"))
     if rank:
-        total = total.withColumn(rank, F.col("__first") + F.row_number().over(own))
-    return total.drop("__part", "__from", "__first")
+        total = total.withColumn(rank, F.col("__first") + F.col("__row"))
+    return total.drop("__part", "__from", "__first", "__sum", "__row")
 
 
 def score_cdf(pdf: DataFrame) -> DataFrame:
