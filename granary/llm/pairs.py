@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from granary.llm.residue import evidence
-from granary.session import cut
+from granary.session import cut, spread
 
 SHINGLE, SIMILAR = 5, 0.8
 BANDS, ROWS = 12, 3
@@ -203,6 +203,19 @@ def minhash_clusters(openings: DataFrame, column: str = "opening") -> DataFrame:
     return openings.select(column).join(linked, F.col(column) == F.col("node"), "left").select(column, F.coalesce("cluster", column).alias("cluster"))
 
 
+def cut_short(short: DataFrame, long: DataFrame, more: int = MORE) -> DataFrame:
+    """step: those of `short` that are a proper beginning of a step of `long` which is so many times as frequent. Both: step, n.
+
+    A beginning has all words of the longer step but the last one, of which it has a part: the key is the words before,
+    with the first letter of the word. So a step gives as many keys as it has words, and each key with its next word once.
+    """
+    w, at = F.split("step", " "), F.posexplode("w").alias("k", "word")
+    key = F.struct(F.col("k"), F.xxhash64(F.array_join(F.slice("w", F.lit(1), F.col("k")), " ")).alias("h"), F.substring("word", 1, 1).alias("c"))
+    begun = long.select("n", w.alias("w")).select("n", "w", at).select(key.alias("key"), "word", "n").groupBy("key", "word").agg(F.max("n").alias("longer"))
+    ends = short.where("step <> ''").select("step", "n", w.alias("w")).withColumn("k", F.size("w") - 1).withColumn("word", F.element_at("w", -1)).select("step", "n", key.alias("key"), F.col("word").alias("part"))
+    return ends.join(begun, "key").where(F.startswith("word", F.col("part")) & (F.col("longer") >= more * F.col("n"))).select("step").distinct()
+
+
 def defects(df: DataFrame, id_column: str = "entry_id", question: str = "question", response: str = "chain_of_thought", command: str = "command", command_name: str = "command_name", objective: str = "objective") -> DataFrame:
     """`id_column`, defect: one row for each defective pair."""
     c = lambda name: F.col(f"`{name}`")
@@ -214,21 +227,21 @@ def defects(df: DataFrame, id_column: str = "entry_id", question: str = "questio
             read = [read_pair(*row) for row in zip(*(batch.column(i).to_pylist() for i in range(1, 6)))]
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([r.get(f) for r in read], t) for f, t in zip(fields, (pa.string(), pa.string(), pa.list_(pa.string()), pa.bool_(), pa.bool_(), pa.bool_(), pa.string(), pa.list_(pa.string())))), batch.column(6), pa.array([q if r.get("foreign") else None for q, r in zip(batch.column(1).to_pylist(), read)], pa.string())], names=["id", *fields, "prompt", "q"])
 
-    base = rows.select("*", F.xxhash64("q").alias("prompt")).mapInArrow(run, f"id {dict(df.dtypes)[id_column]}, kind string, opening string, steps array<string>, asked boolean, broken boolean, foreign boolean, option string, options array<string>, prompt bigint, q string")
+    base = spread(rows.select("*", F.xxhash64("q").alias("prompt"))).mapInArrow(run, f"id {dict(df.dtypes)[id_column]}, kind string, opening string, steps array<string>, asked boolean, broken boolean, foreign boolean, option string, options array<string>, prompt bigint, q string")
     base = cut(base.withColumn("residue", F.when(F.col("q").isNotNull(), evidence(F.col("q")))).drop("q"), "p4-base")
     rest = base.where("kind IS NULL")
     # refusals: templates that recur under unrelated prompts and never name what was asked for
     seen = rest.where("opening <> ''").groupBy("opening").agg(F.count_distinct("prompt").alias("prompts"), F.sum(F.col("asked").cast("int")).alias("asked"), F.count("*").alias("n"), F.sum(F.col("broken").cast("int")).alias("broken"), F.sum(F.coalesce(F.col("foreign"), F.lit(False)).cast("int")).alias("foreign"))
     seen = cut(seen, "p4-openings")
-    clusters = seen.join(minhash_clusters(seen), "opening").groupBy("cluster").agg(F.sum("prompts").alias("prompts"), F.sum("asked").alias("asked"), F.sum("n").alias("n"), F.sum("broken").alias("broken"), F.sum("foreign").alias("foreign"), F.max(F.col("opening").rlike(REFUSES)).alias("refuses"), F.collect_set("opening").alias("openings"))
+    clustered = cut(minhash_clusters(seen), "p4-clusters")
+    clusters = seen.join(clustered, "opening").groupBy("cluster").agg(F.sum("prompts").alias("prompts"), F.sum("asked").alias("asked"), F.sum("n").alias("n"), F.sum("broken").alias("broken"), F.sum("foreign").alias("foreign"), F.max(F.col("opening").rlike(REFUSES)).alias("refuses"))
     unnamed = F.col("asked") <= NAMED * F.col("n")
     recurs = (F.col("prompts") >= RECURS) & (F.col("broken") * 2 <= F.col("n")) & (F.col("foreign") * 2 <= F.col("n")) & (F.size(F.split("cluster", " ")) >= SHINGLE)
-    refusals = clusters.where(F.col("refuses") & (F.col("asked") * 2 <= F.col("n")) | unnamed & recurs).select(F.explode("openings").alias("opening")).withColumn("refusal", F.lit(True))
+    refusals = clusters.where(F.col("refuses") & (F.col("asked") * 2 <= F.col("n")) | unnamed & recurs).select("cluster").join(clustered, "cluster").select("opening", F.lit(True).alias("refusal"))
     # steps that broke off: a proper beginning of a template that is far more frequent
     steps = rest.select("prompt", F.posexplode("steps").alias("i", "step"), F.size("steps").alias("of")).groupBy("step").agg(F.count("*").alias("n"), F.count_if(F.expr("i < of - 1")).alias("inner"))
     steps = cut(steps, "p4-steps")
-    prefixes = steps.where(F.col("n") >= MORE).select("n", "step", F.explode(F.expr("transform(sequence(1, length(step) - 1), i -> rtrim(substr(step, 1, i)))")).alias("begin")).where("begin <> ''").groupBy("begin").agg(F.max("n").alias("longer"))
-    lasting = steps.where("inner * 20 < n").join(prefixes, F.col("step") == F.col("begin")).where(F.col("longer") >= MORE * F.col("n")).select("step", F.lit(True).alias("short"))
+    lasting = cut_short(steps.where("inner * 20 < n"), steps.where(F.col("n") >= MORE)).withColumn("short", F.lit(True))
     # options that never end a command, beginnings of frequent options, and rare ones that stand nowhere but at an end
     use = rest.select(F.explode("options").alias("opt"), F.lit(0).alias("end")).unionByName(rest.where("option IS NOT NULL").select(F.col("option").alias("opt"), F.lit(1).alias("end"))).groupBy("opt").agg((F.count("*") - F.sum("end")).alias("n"), F.sum("end").alias("ends"))
     longer = use.where(F.col("n") >= MORE).select(F.col("opt").alias("whole"), F.col("n").alias("more"), F.explode(F.expr("transform(sequence(1, length(opt) - 1), i -> substr(opt, 1, i))")).alias("begin")).groupBy("begin").agg(F.max("more").alias("more"))

@@ -183,6 +183,15 @@ def test_pair_defects(spark):
     assert pairs.defects(df.limit(0)).count() == 0
 
 
+def test_steps_cut_short_equal_brute_force(spark):
+    rng = random.Random(4)
+    whole = [" ".join(rng.choice(WORDS[:12]) for _ in range(rng.randrange(1, 7))) for _ in range(60)]
+    steps = {w: rng.choice([1, 2, 9, 40]) for w in whole + [w[: rng.randrange(1, len(w) + 1)].rstrip() for w in whole for _ in range(3)] + [""]}
+    df = spark.createDataFrame(list(steps.items()), "step string, n bigint")
+    truth = sorted(a for a in steps if a and any(b.startswith(a) and b != a and m >= 8 and m >= 8 * steps[a] for b, m in steps.items()))
+    assert len(truth) > 20 and [r[0] for r in rows(pairs.cut_short(df, df.where("n >= 8")), "step")] == truth
+
+
 def test_minhash_clusters_are_verified(spark):
     a = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen twenty"
     df = spark.createDataFrame([(a,), (a + " more",), ("something else altogether that is not alike at all",), ("no",)], "opening string")
