@@ -10,6 +10,8 @@ Cases: null and empty chunks have no noise and come out as they are; CRLF line e
 equal chunks of a row that was delivered again are one; a row without a part is held against the titles of all; ties
 between neighbours go to the more frequent word, then the lesser. Vocabulary and vectors are broadcast: words below one in
 a million of all words (or below LEAST occurrences) aren't in it, so it has at most a million words whatever the corpus.
+How often rarer words occur, from LEAST on, is kept in a sketch of fixed size: such a word is known, and is corrected only
+to neighbours that are RATIO times as frequent; two words in one cell have the count of the more frequent.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.ml.feature import Word2Vec
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -28,6 +31,8 @@ from granary.session import cut
 
 #: A word is in the vocabulary from so many occurrences on, and from this share of all words on.
 LEAST, SHARE = 5, 1e-6
+#: Cells of the sketch of rarer words: a byte each, so its size doesn't grow with the corpus.
+CELLS = 1 << 24
 #: A word may be an error of another that is so many times as frequent.
 RATIO = 20
 #: Size and window of the skip-gram vectors; words of context on either side; by how much the cosine with the context may be less for a correction than for a known word.
@@ -41,6 +46,7 @@ PAIRS = [("el", "d"), ("rl", "n"), ("rn", "m"), ("ll", "u"), ("vv", "w")]
 BREAKS = "-‐‑¬­"
 _TOKENS = r"[\p{L}@$|0-9]+(?:['’-][\p{L}@0-9]+)*"
 _WORD = re.compile(r"[^\W_@$|]*[^\W\d_][\w@$|]*(?:['’-][^\W\d_][\w@]*)*|[@$|\d]+[^\W\d_][\w@$|]*")
+_NO_LETTERS = re.compile(r"[\W\d_]+")
 _ROMAN = re.compile(r"^(?=[ivx])(x{0,3})(ix|iv|v?i{0,3})$")
 _PAGE = re.compile(r"^\W*(?:(?:page|pg\.?|p\.|seite|página|oldal)\s*)?(?:\d{1,4}|(?P<roman>[ivx]{1,7}))(?:\s*(?:/|of|von|de|sur)\s*\d{1,4})?\W*$", re.I)
 _PROMPT = re.compile(r"^\s*(\$|#|>|%)\s+\S")
@@ -78,16 +84,20 @@ def title_key(text: str) -> str:
 
 
 def header_key(line: str) -> str | None:
-    """The key of a line that may be a running header or footer; None for one that is too long."""
-    line = line.strip()
-    return title_key(line) or None if 0 < len(line) <= 120 else None
+    """The key of a line that may be a running header or footer."""
+    return title_key(line.strip()) or None
+
+
+#: A key has at least half as many letters as its words, besides those of a leading `chapter`: a line with more letters than this for the longest key can't have one of the keys.
+def most_letters(keys: set[str]) -> int:
+    return 2 * max(map(len, keys), default=0) + 2 * max(map(len, _CHAPTER))
 
 
 class Repairer:
     """Finds and repairs the noise of chunks, given the vocabulary and its vectors."""
 
-    def __init__(self, counts: dict[str, int], vectors: dict[str, np.ndarray]):
-        self.counts, self.vectors = counts, vectors
+    def __init__(self, counts: dict[str, int], vectors: dict[str, np.ndarray], rarer: np.ndarray | None = None):
+        self.counts, self.vectors, self.rarer = counts, vectors, rarer
         self.alike: dict[str, set[str]] = {}
         #: The neighbours of the vocabulary's words that were asked for, at most as many as it has words.
         self.linked: dict[str, list[str]] = {}
@@ -96,11 +106,16 @@ class Repairer:
                 for key in glyph_keys(w):
                     self.alike.setdefault(key, set()).add(w)
 
+    def count(self, word: str) -> int:
+        """Occurrences of a word, 0 for one with fewer than LEAST."""
+        n = self.counts.get(word, 0)
+        return n if n or self.rarer is None else int(self.rarer[xxhash.xxh64_intdigest(word, seed=42) % len(self.rarer)])
+
     def neighbours(self, word: str) -> list[str]:
         """Words at glyph edits from a word that are much more frequent, the most frequent first."""
         if (links := self.linked.get(word)) is not None:
             return links
-        need = RATIO * max(1, self.counts.get(word, 0))
+        need = RATIO * max(1, self.count(word))
         found = {z for key in glyph_keys(word) for z in self.alike.get(key, ())}
         links = sorted((z for z in found if z != word and self.counts[z] >= need), key=lambda z: (-self.counts[z], z))
         if word in self.counts:
@@ -124,15 +139,15 @@ class Repairer:
     def broken(self, left: str, right: str, mark: str) -> bool:
         """A line end broke a word in two, and not at a hyphen of its own."""
         whole, compound = (left + right).lower(), f"{left}-{right}".lower()
-        c = self.counts.get
+        c = self.count
         if mark == "-":
-            if c(compound, 0) > c(whole, 0):
+            if c(compound) > c(whole):
                 return False
-            if "-" in left and c(left.rpartition("-")[2].lower(), 0) and c(right.lower(), 0):
+            if "-" in left and c(left.rpartition("-")[2].lower()) and c(right.lower()):
                 return False
-        if c(whole, 0) or mark != "-" or self.neighbours(whole):
+        if c(whole) or mark != "-" or self.neighbours(whole):
             return True
-        return not (c(left.lower(), 0) and c(right.lower(), 0))
+        return not (c(left.lower()) and c(right.lower()))
 
     def repair(self, text: str, titles: list[str]) -> tuple[str, list[str]]:
         """The repaired text and the kinds of noise that were in it."""
@@ -140,6 +155,7 @@ class Repairer:
         if not text.isascii():
             text = one_form(text)
         keys = {k for t in titles if t and (k := title_key(t))}
+        letters = most_letters(keys)
         noise: set[str] = set()
         lines: list[str] = []
         output = False
@@ -154,7 +170,7 @@ class Repairer:
                         output = False
                     else:
                         kind = "pageno"
-                elif keys and (k := header_key(bare)) and k in keys:
+                elif keys and (len(bare) <= letters or len(_NO_LETTERS.sub("", bare)) <= letters) and header_key(bare) in keys:
                     kind = "header"
                 else:
                     output = bool(_PROMPT.match(line))
@@ -237,28 +253,33 @@ class Repairer:
         return "".join(out) + text[at:] if out else text
 
 
-def learn(chunks: DataFrame, text_column: str = "text") -> DataFrame:
-    """word, n, vector: the vocabulary of all chunks with skip-gram vectors (Spark's Word2Vec, over all of them)."""
+def learn(chunks: DataFrame, text_column: str = "text") -> tuple[DataFrame, DataFrame]:
+    """(word, n, vector; cell, n): the vocabulary of all chunks with skip-gram vectors (Spark's Word2Vec, over all of them), and the sketch of the words that are too rare for it."""
     said = cut(chunks.select(tokens(F.col(text_column)).alias("words")).where("size(words) > 0"), "p1-words")
     counts = cut(said.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("n")), "p1-counts")
     total = counts.agg(F.sum("n")).first()[0] or 0
     least = max(LEAST, int(np.ceil(total * SHARE)))
     vocabulary = counts.where(F.col("n") >= least)
+    rarer = counts.where(F.col("n").between(LEAST, least - 1)).groupBy(F.pmod(F.xxhash64("word"), F.lit(CELLS)).alias("cell")).agg(F.least(F.max("n"), F.lit(255)).alias("n"))
     if vocabulary.isEmpty():
-        return counts.sparkSession.createDataFrame([], "word string, n bigint, vector array<float>")
-    parts = max(1, min(64, round(total / WORDS_PER_TASK)))
+        return counts.sparkSession.createDataFrame([], "word string, n bigint, vector array<float>"), rarer
+    parts = max(1, round(total / WORDS_PER_TASK))
     model = Word2Vec(vectorSize=SIZE, windowSize=WINDOW, minCount=least, maxIter=1, numPartitions=parts, seed=1, inputCol="words", outputCol="v").fit(said)
     from pyspark.ml.functions import vector_to_array
 
-    return vocabulary.join(model.getVectors().select("word", vector_to_array("vector", "float32").alias("vector")), "word", "left")
+    return vocabulary.join(model.getVectors().select("word", vector_to_array("vector", "float32").alias("vector")), "word", "left"), rarer
 
 
 def repaired(chunks: DataFrame, keys: list[str], text_column: str = "text", titles_column: str = "titles") -> DataFrame:
     """The keys, text and noise (array of kinds) for each chunk. titles: array of the titles that may run over its pages."""
     spark = chunks.sparkSession
-    learned = learn(chunks.select(F.col(text_column).alias("text"))).toArrow()
+    learned, rarer = (t.toArrow() for t in learn(chunks.select(F.col(text_column).alias("text"))))
+    sketch = None
+    if rarer.num_rows:
+        sketch = np.zeros(CELLS, dtype=np.uint8)
+        sketch[rarer["cell"].to_numpy()] = rarer["n"].to_numpy()
     words, n, vec = learned["word"].to_pylist(), learned["n"].to_pylist(), learned["vector"].to_pylist()
-    shared = spark.sparkContext.broadcast((dict(zip(words, n)), {w: np.array(v, dtype=np.float32) for w, v in zip(words, vec) if v}))
+    shared = spark.sparkContext.broadcast((dict(zip(words, n)), {w: np.array(v, dtype=np.float32) for w, v in zip(words, vec) if v}, sketch))
     types = dict(chunks.dtypes)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -280,10 +301,19 @@ def book_chunks(chapter: DataFrame, part: DataFrame, subpart: DataFrame) -> Data
     p = part.join(own, "chapter_id", "left").select(F.lit("book_part").alias("table_name"), F.col("part_id").alias("row_id"), F.posexplode("intr").alias("chunk_no", "text"), F.array("title", "chapter_title").alias("titles"))
     s = subpart.join(parts.drop("chapter_id"), "part_id", "left").select(F.lit("book_subpart").alias("table_name"), F.col("subpart_id").alias("row_id"), F.posexplode("content").alias("chunk_no", "text"), F.array("part_title", "chapter_title").alias("titles"))
     every = c.unionByName(p).unionByName(s).withColumn("titles", F.array_compact("titles")).dropDuplicates(["table_name", "row_id", "chunk_no", "text"])
-    # chunks without a title: their short lines against all titles, by a join on the key
-    key = F.udf(header_key, "string").asNondeterministic()
+    # chunks without a title: their lines against all titles, by a join on the key
     alone = every.where((F.size("titles") == 0) & F.col("text").isNotNull())
-    lines = alone.select("table_name", "row_id", "chunk_no", F.explode(F.split("text", r"\r\n|\n|\r")).alias("line")).where("length(trim(line)) BETWEEN 3 AND 120").withColumn("key", key("line")).where("key IS NOT NULL")
-    titles = chapter.select("title").unionByName(part.select("title")).where("title IS NOT NULL").distinct().withColumn("key", key("title")).dropDuplicates(["key"])
+    lines = with_key(alone.select("table_name", "row_id", "chunk_no", F.explode(F.split("text", r"\r\n|\n|\r")).alias("line")), "line")
+    titles = with_key(chapter.select("title").unionByName(part.select("title")).where("title IS NOT NULL").distinct(), "title").dropDuplicates(["key"])
     matched = lines.join(titles, "key").groupBy("table_name", "row_id", "chunk_no").agg(F.array_sort(F.collect_set("title")).alias("others"))
     return every.join(matched, ["table_name", "row_id", "chunk_no"], "left").withColumn("titles", F.coalesce("others", "titles")).drop("others")
+
+
+def with_key(df: DataFrame, column: str) -> DataFrame:
+    """The rows whose text in the column has a title's key of two letters or more, with it, in Arrow batches."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            pdf["key"] = [header_key(t) for t in pdf[column]]
+            yield pdf[pdf["key"].str.len() > 1]
+
+    return df.mapInPandas(run, ", ".join(f"`{n}` {t}" for n, t in df.dtypes) + ", key string")

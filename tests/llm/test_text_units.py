@@ -204,6 +204,22 @@ def test_scanned_misreadings_are_found_at_any_size(scale):
     assert fixer.repair("the rcplica waits tor the", []) == ("the replica waits for the", ["ocr"])
 
 
+def test_scanned_header_of_any_length():
+    title = " ".join(["Very Long Titles of the Node Agents and their Storage"] * 5)
+    assert repairer().repair(f"the node\n{title} | 288\nruns", [title])[1] == ["header"]
+    assert repairer().repair("the node\n" + "runs short of memory " * 40, ["Safe Defaults"])[1] == []
+
+
+def test_scanned_words_below_the_vocabulary_are_known():
+    """A word of the sketch needs a neighbour that is so many times as frequent as itself; an unknown one doesn't."""
+    sketch = np.zeros(1 << 16, dtype=np.uint8)
+    sketch[scanned.xxhash.xxh64_intdigest("rcplica", seed=42) % sketch.size] = 7
+    counts = {"replica": 120, "the": 9000}
+    assert scanned.Repairer(counts, {}, sketch).repair("the rcplica", []) == ("the rcplica", [])
+    assert scanned.Repairer(counts, {}).repair("the rcplica", []) == ("the replica", ["ocr"])
+    assert scanned.Repairer({**counts, "replica": 140}, {}, sketch).repair("the rcplica", [])[1] == ["ocr"]
+
+
 def test_scanned_break_across_furniture():
     out, noise = repairer().repair("the work-\n\nxiv\n\nload of a node", [])
     assert out == "the workload of a node" and noise == ["hyphen", "pageno"]
