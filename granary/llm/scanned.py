@@ -31,6 +31,8 @@ from granary.session import cut
 
 #: A word is in the vocabulary from so many occurrences on, and from this share of all words on.
 LEAST, SHARE = 5, 1e-6
+#: Words without a neighbour that a worker remembers.
+PLAIN = 500_000
 #: Cells of the sketch of rarer words: a byte each, so its size doesn't grow with the corpus.
 CELLS = 1 << 24
 #: A word may be an error of another that is so many times as frequent.
@@ -46,6 +48,8 @@ PAIRS = [("el", "d"), ("rl", "n"), ("rn", "m"), ("ll", "u"), ("vv", "w")]
 BREAKS = "-‐‑¬­"
 _TOKENS = r"[\p{L}@$|0-9]+(?:['’-][\p{L}@0-9]+)*"
 _WORD = re.compile(r"[^\W_@$|]*[^\W\d_][\w@$|]*(?:['’-][^\W\d_][\w@]*)*|[@$|\d]+[^\W\d_][\w@$|]*")
+#: A character besides ASCII, Latin letters and usual marks: without one a text is in its one form.
+_ODD = re.compile(r"[^\x00-\x7fÀ-ɏ‐-‟•…‹›€™]")
 _NO_LETTERS = re.compile(r"[\W\d_]+")
 _ROMAN = re.compile(r"^(?=[ivx])(x{0,3})(ix|iv|v?i{0,3})$")
 _PAGE = re.compile(r"^\W*(?:(?:page|pg\.?|p\.|seite|página|oldal)\s*)?(?:\d{1,4}|(?P<roman>[ivx]{1,7}))(?:\s*(?:/|of|von|de|sur)\s*\d{1,4})?\W*$", re.I)
@@ -101,6 +105,8 @@ class Repairer:
         self.alike: dict[str, set[str]] = {}
         #: The neighbours of the vocabulary's words that were asked for, at most as many as it has words.
         self.linked: dict[str, list[str]] = {}
+        #: Words without a neighbour; emptied when it is full.
+        self.plain: set[str] = set()
         for w, n in counts.items():
             if n >= LEAST:
                 for key in glyph_keys(w):
@@ -152,7 +158,7 @@ class Repairer:
     def repair(self, text: str, titles: list[str]) -> tuple[str, list[str]]:
         """The repaired text and the kinds of noise that were in it."""
         text = re.sub(rf"(?<=\w)­(?=[ \t]*\r?\n)", "¬", text).replace("\r\n", "\n").replace("\r", "\n")
-        if not text.isascii():
+        if _ODD.search(text):
             text = one_form(text)
         keys = {k for t in titles if t and (k := title_key(t))}
         letters = most_letters(keys)
@@ -239,11 +245,18 @@ class Repairer:
         return "\n".join(out).replace("\x00", "").strip("\n")
 
     def _read(self, text: str, noise: set[str]) -> str:
+        if self.plain.issuperset(_WORD.findall(text.lower())):
+            return text
         found = list(_WORD.finditer(text))
         words = [m.group().lower() for m in found]
         out, at = [], 0
         for n, m in enumerate(found):
-            if words[n] in self.counts and not self.neighbours(words[n]):
+            if words[n] in self.plain:
+                continue
+            if len(words[n]) < 3 or not self.neighbours(words[n]):
+                if len(self.plain) >= PLAIN:
+                    self.plain.clear()
+                self.plain.add(words[n])
                 continue
             right = self.correct(m.group(), words[max(0, n - CONTEXT) : n] + words[n + 1 : n + 1 + CONTEXT])
             if right:
