@@ -26,7 +26,7 @@ def ship(spark: SparkSession) -> None:
     with zipfile.ZipFile(data, "w") as z:
         for f in sorted(root.rglob("*.py")):
             z.write(f, str(Path(root.name) / f.relative_to(root)))
-    at = f"{shared_dir(spark)}/{root.name}-{uuid.uuid4().hex}.zip"
+    at = f"{work_dir(spark)}/{root.name}-{uuid.uuid4().hex}.zip"
     path = sc._jvm.org.apache.hadoop.fs.Path(at)
     out = path.getFileSystem(sc._jsc.hadoopConfiguration()).create(path)
     out.write(data.getvalue())
@@ -56,10 +56,23 @@ def shared_dir(spark: SparkSession) -> str:
     return f"file://{_OWN['dir']}"
 
 
+def work_dir(spark: SparkSession) -> str:
+    """A folder of this application in the shared one, for its intermediate tables; removed when the application ends."""
+    sc = spark.sparkContext
+    at = f"{shared_dir(spark)}/granary-{sc.applicationId}"
+    if _OWN.get("work") != at:
+        path = sc._jvm.org.apache.hadoop.fs.Path(at)
+        files = path.getFileSystem(sc._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+        _OWN["work"] = at
+    return at
+
+
 def cut(df: DataFrame, label: str = "cut") -> DataFrame:
     """Writes df as a table in the shared folder and reads it back: lineage ends there, and lost executors lose nothing."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{work_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from granary.session import shared_dir
+from granary.session import work_dir
 
 
 def stream_of(spark: SparkSession, sf_dir: str, name: str, files_per_batch: int = 1) -> DataFrame:
@@ -28,7 +28,7 @@ def first_of_key(stream: DataFrame, time: str, key: list[str], late: str = "30 d
 def run_to_end(result: DataFrame, mode: str = "append") -> DataFrame:
     """Runs a stream over what is there and returns what it wrote; offsets and state are in the shared folder."""
     spark = result.sparkSession
-    base = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
+    base = f"{work_dir(spark)}/stream-{uuid.uuid4().hex}"
     if mode == "append":
         writer = result.writeStream.format("parquet").option("path", f"{base}/out")
     else:  # complete results replace each other

@@ -378,3 +378,10 @@ def test_streams(spark, tmp_path):
     stream = lambda: events.stream_of(spark, str(tmp_path), "events")
     assert sorted((r.kind, r.n) for r in events.run_to_end(events.tumbling_counts(stream(), "ts", "kind"), "complete").collect()) == [("a", 2), ("b", 1)]
     assert events.run_to_end(events.first_of_key(stream(), "ts", ["event_id"])).count() == 2
+
+
+def test_intermediate_tables_are_in_a_folder_of_the_application(spark):
+    from granary.session import cut, work_dir
+
+    df = cut(spark.range(5), "x")
+    assert df.count() == 5 and spark.sparkContext.applicationId in work_dir(spark) and work_dir(spark) in df.inputFiles()[0].replace("file:///", "file:/").replace("file:/", "file:///")
