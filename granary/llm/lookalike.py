@@ -3,8 +3,9 @@
 Full-width forms become ASCII, other spaces become the ordinary one, invisible format characters go, combining marks are
 composed. In each token the resolved script sets of its letters are intersected; an empty intersection shows a mixed
 token, and the spelling in the one script that has look-alikes for all letters of the others is taken. A token wholly of
-another script is replaced only if all its letters have Latin look-alikes and its Latin spelling is a frequent word of
-the corpus, so genuine foreign words stay.
+another script is replaced only if all its letters have Latin look-alikes, its Latin spelling is a word of the corpus that
+is many times as frequent as the token itself, and its text has no other word of that script that can't be spelt in Latin
+letters: so genuine foreign words stay, which stand among their like and recur as they are.
 
 Cases: null stays null and empty stays empty; joiners stay in scripts and emoji that need them; a mixed token without a
 consistent spelling is left as it is. Rows that can't have a fault never leave the JVM.
@@ -39,8 +40,8 @@ _MARK = regex.compile(r"\p{M}")
 _NEEDS_JOINER = regex.compile(r"[\p{Script=Arabic}\p{Script=Devanagari}\p{Script=Bengali}\p{Script=Tamil}\p{Script=Malayalam}\p{So}\p{Sk}️]")
 #: A text without any of these characters has no fault: neither ASCII nor plain Latin letters and usual marks.
 SUSPECT = r"[！-～\p{M}\p{Cf}]|[\p{Zs}&&[^ ]]|[\p{L}&&[^\p{IsLatin}]]"
-#: A word is frequent enough in the corpus to replace a look-alike token.
-FREQUENT = 5
+#: A Latin word replaces a look-alike token that it is so many times as frequent as, counted by texts.
+RATIO = 5
 
 
 @lru_cache(maxsize=65536)
@@ -89,6 +90,13 @@ def whole_script(token: str) -> str | None:
     return None
 
 
+def disguised(text: str) -> list[tuple[str, str]]:
+    """The tokens wholly of another script with their Latin spellings; none of a script of which the text has a word that can't be spelt so."""
+    tokens = {w for w in _TOKEN.findall(_FORMAT.sub("", text)) if not w.isascii()}
+    genuine = {s for w in tokens if not whole_script(w) for s in LATIN_LOOKALIKES if resolved(w) == frozenset({s})}
+    return [(w, spelt) for w in sorted(tokens) if (spelt := whole_script(w)) and not genuine & (resolved(w) or frozenset())]
+
+
 def faults(text: str) -> list[str]:
     """The kinds of fault in a text: wide, mark, format, space, mixed."""
     out = []
@@ -140,11 +148,13 @@ def normalised(df: DataFrame, keys: list[str], text_column: str) -> DataFrame:
     text = F.col(f"`{text_column}`")
     base = df.select(*(F.col(f"`{k}`") for k in keys), text.alias("__text"))
     odd = base.where(suspect(F.col("__text")))
-    # tokens wholly of another script, each with its Latin spelling, where that is a frequent word of the corpus
-    tokens = _map(odd, keys, "__text", lambda t: [(w, s) for w in {w for w in _TOKEN.findall(_FORMAT.sub("", t)) if not w.isascii()} if (s := whole_script(w))], "token string, spelling string")
+    # tokens wholly of another script, each with its Latin spelling, where that is a far more frequent word of the corpus
+    tokens = _map(odd, keys, "__text", disguised, "token string, spelling string")
     words = base.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("__text"), F.lit("[a-z]+"), F.lit(0)))).alias("word"))
-    wanted = words.join(tokens.select(F.lower("spelling").alias("word")).distinct(), "word", "left_semi").groupBy("word").count().where(F.col("count") >= FREQUENT)
-    accepted = tokens.join(wanted, F.lower("spelling") == F.col("word"), "left_semi").groupBy(*keys).agg(F.map_from_entries(F.collect_set(F.struct("token", "spelling"))).alias("latin"))
+    wanted = words.join(tokens.select(F.lower("spelling").alias("word")).distinct(), "word", "left_semi").groupBy("word").agg(F.count("*").alias("latin_n"))
+    own = tokens.groupBy("token", F.lower("spelling").alias("word")).agg(F.count("*").alias("own_n"))
+    taken = own.join(wanted, "word").where(F.col("latin_n") >= RATIO * F.col("own_n")).select("token")
+    accepted = tokens.join(taken, "token", "left_semi").groupBy(*keys).agg(F.map_from_entries(F.collect_set(F.struct("token", "spelling"))).alias("latin"))
     fixed = odd.join(accepted, keys, "left")
     types = dict(base.dtypes)
 

@@ -29,7 +29,7 @@ import pyarrow.fs as pafs
 import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, Window, functions as F
 
-from granary.session import cut, shared_dir
+from granary.session import cut, work_dir
 
 DIMS, CONFIDENCE, SEED = 8, 0.97, 7
 #: Rows of a cell, about; vectors of a leaf; leaves verified together; rows of the sample that the upper tree is fitted on; cells that a task keeps.
@@ -199,7 +199,7 @@ def nearest(vectors: DataFrame, k: int = 10, confidence: float = CONFIDENCE, cel
                 raw = pa.FixedSizeBinaryArray.from_buffers(pa.binary(4 * values), len(x), [None, pa.py_buffer(np.ascontiguousarray(x))]).cast(pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array(cell_of(proj, nodes, levels).astype(np.int32)), batch.column(0), raw, pa.array(list(proj), pa.list_(pa.float32()))], names=["cell", "id", "raw", "proj"])
 
-    path = f"{shared_dir(spark)}/p2-index-{uuid.uuid4().hex}"
+    path = f"{work_dir(spark)}/p2-index-{uuid.uuid4().hex}"
     index = searched.mapInArrow(assign, "cell int, id bigint, raw binary, proj array<float>")
     index.repartition(min(2 ** levels, 2000), "cell").write.partitionBy("cell").option("compression", "none").parquet(path)
     box = spark.read.parquet(path).groupBy("cell").agg(*(F.min(F.col("proj")[i]).alias(f"l{i}") for i in range(DIMS)), *(F.max(F.col("proj")[i]).alias(f"h{i}") for i in range(DIMS))).orderBy("cell").toPandas()

@@ -122,6 +122,15 @@ def test_lookalike_table(spark):
     assert lookalike.normalised(df.limit(0), ["row_id"], "body").count() == 0
 
 
+@pytest.mark.parametrize("n", [10, 400])
+def test_lookalike_leaves_genuine_words_at_any_size(spark, n):
+    """A foreign word with a Latin twin stays beside words of its script, and where it recurs as often as the twin; a disguised word is replaced."""
+    texts = ["the cop of the zone"] * n + ["сор и мусор"] + ["сее"] * n + ["the cee"] * n + ["one ѕсоре here"] + ["the scope of it"] * n
+    df = spark.createDataFrame(list(enumerate(texts)), "row_id bigint, body string")
+    got = {r.text for r in lookalike.normalised(df, ["row_id"], "body").collect()}
+    assert {"сор и мусор", "сее", "one scope here"} <= got and "one ѕсоре here" not in got
+
+
 def test_split_table(spark):
     long = "One sentence here. " * 200
     df = spark.createDataFrame([(1, long), (2, "short"), (3, None), (4, ""), (5, "x" * 2000)], "row_id bigint, body string").withColumn("piece", F.lit(1))
