@@ -139,4 +139,9 @@ ORACLES: dict[str, str] = {
              u AS (SELECT entry_id, split_name, len(words) AS n, unnest(words) AS word FROM w),
              s AS (SELECT a.entry_id AS x, b.entry_id AS y, any_value(a.n) AS m, any_value(b.n) AS n, count(*) AS k FROM u a JOIN u b ON a.word = b.word AND a.split_name = 'train' AND b.split_name IN ('validate', 'test') GROUP BY ALL)
         SELECT least(x, y) AS entry_id_a, greatest(x, y) AS entry_id_b FROM s WHERE k >= 0.8 * (m + n - k) - 1e-9""",
+    "p3_by_split_source": """
+        WITH w AS (SELECT entry_id, split_name, list_distinct(regexp_extract_all(lower(concat_ws(' ', objective, question, command)), '[a-z0-9]+')) AS words FROM entry),
+             u AS (SELECT entry_id, split_name, len(words) AS n, unnest(words) AS word FROM w),
+             s AS (SELECT a.entry_id AS x, b.entry_id AS y, any_value(a.n) AS m, any_value(b.n) AS n, count(*) AS k FROM u a JOIN u b ON a.word = b.word AND a.split_name = 'train' AND b.split_name IN ('validate', 'test') GROUP BY ALL)
+        SELECT e.split_name, e.source, count(*) AS pairs, count(DISTINCT y) AS rows FROM s JOIN entry e ON e.entry_id = y WHERE k >= 0.8 * (m + s.n - k) - 1e-9 GROUP BY ALL""",
 }
