@@ -250,6 +250,37 @@ def test_neighbours_of_copies_and_few_vectors(spark):
     assert neighbours.nearest(df.where("id = 100")).count() == 0 and neighbours.nearest(df.limit(0)).count() == 0
 
 
+def test_neighbours_in_many_cells_read_each_bucket_three_times(spark):
+    rng = np.random.default_rng(3)
+    x = np.concatenate([np.repeat(rng.standard_normal((480, 32)), 12, axis=0) + 0.15 * rng.standard_normal((5760, 32)), rng.standard_normal((240, 32))])
+    x = (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)[rng.permutation(6000)]
+    centres, ids, buckets = x[:200], np.arange(6000), 10
+    cells = neighbours.cell_of(x, centres).astype(np.int32)
+    groups = np.zeros(6000, dtype=np.int64)
+    for c in range(200):
+        own = np.flatnonzero(cells == c)
+        groups[own] = c * 6000 + neighbours.groups_of(x[own])
+    order = np.argsort(groups, kind="stable")
+    table = neighbours.Bucket(cells[order], ids[order], x[order], groups[order])
+    reads = []
+
+    def read(b):
+        reads.append(b)
+        mine = table.cells * buckets // 200 == b
+        return neighbours.Bucket(*(y[mine] for y in table))
+
+    found = 0
+    for own in range(buckets):
+        reads.clear()
+        mine, who, sim = neighbours.search_bucket(own, buckets, read, centres, neighbours.stable_rank(x), 5, 0.99, near=24)
+        assert max(reads.count(b) for b in range(buckets)) == 3  # lone vectors want all buckets; each leaf of 128 read its cells again before
+        truth = x[mine] @ x.T
+        truth[np.arange(len(mine)), mine] = -2
+        found += sum(len(set(a) & set(b)) for a, b in zip(who.tolist(), np.argsort(-truth, axis=1)[:, :5].tolist()))
+        assert np.allclose(np.take_along_axis(truth, who, 1), sim, atol=1e-5) and all(len(set(w)) == 5 for w in who.tolist())
+    assert found / 30_000 >= 0.99
+
+
 def test_scanned_table(spark):
     text = "The node agent watches the shared cache while the planner drops the oldest snapshot of the storage class."
     chapter = spark.createDataFrame([(1, "Safe Defaults", [text] * 3), (2, "Empty", None)], "chapter_id bigint, title string, intr array<string>")
